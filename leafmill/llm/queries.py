@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import encode, looks, pack, split
+from leafmill.llm import encode, looks, pack, quality, split
 from leafmill.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,21 @@ def both_tables(one: Callable[[DataFrame, str], DataFrame], spark: SparkSession,
     return parts[0].unionByName(parts[1])
 
 
+def _qualities(spark: SparkSession, d: str) -> DataFrame:
+    texts = both_tables(lambda df, _: df, spark, d)
+    return quality.classify(texts, read_table(spark, d, "common_words"), ("source_table", "id"))
+
+
+@query
+def p4_quality(spark: SparkSession, d: str) -> DataFrame:
+    return _qualities(spark, d)
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _qualities(spark, d).where("kind <> 'prose'").select("source_table", "id", "kind")
+
+
 @query
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return both_tables(lambda df, _: split.split_kinds(df), spark, d).select("source_table", "id", "kind")
