@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import encode, looks, pack, quality, split
+from leafmill.llm import encode, looks, pack, quality, scan, split
 from leafmill.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def both_tables(one: Callable[[DataFrame, str], DataFrame], spark: SparkSession,
     return parts[0].unionByName(parts[1])
 
 
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return scan.noisy_lines(read_table(spark, d, "page_results"))
+
+
 def _qualities(spark: SparkSession, d: str) -> DataFrame:
     texts = both_tables(lambda df, _: df, spark, d)
     return quality.classify(texts, read_table(spark, d, "common_words"), ("source_table", "id"))
