@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import encode, looks, pack, quality, scan, split
+from leafmill.llm import encode, looks, pack, quality, scan, split, vectors
 from leafmill.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,16 @@ def both_tables(one: Callable[[DataFrame, str], DataFrame], spark: SparkSession,
     return parts[0].unionByName(parts[1])
 
 
+@query
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return vectors.mutual(read_table(spark, d, "chunk_embeddings"))
+
+
+@query
+def p2_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return vectors.nearest(read_table(spark, d, "chunk_embeddings"))
+
+
 @query
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return scan.noisy_lines(read_table(spark, d, "page_results"))
