@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafmill.operators import chunk, clean, embed, enrich, extract, graph, parse, validate
 from leafmill.operators import hierarchy as hi
+from leafmill.operators import search as se
+from leafmill.plans import api
 from leafmill.session import read_table
+from leafmill.sources import store
+from leafmill.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -31,3 +36,289 @@ def p1_paths(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p1_descendants(spark: SparkSession, d: str) -> DataFrame:
     return hi.descendants(hi.hierarchy(read_table(spark, d, "sections")))
+
+
+def _queries(spark: SparkSession, d: str) -> DataFrame:
+    """Every different query ever asked, case aside: (query_id, query), the id being the first log row's."""
+    return read_table(spark, d, "search_logs").where("query IS NOT NULL").groupBy(F.lower("query").alias("query")).agg(F.min("id").alias("query_id"))
+
+
+def _vector_queries(spark: SparkSession, d: str) -> DataFrame:
+    """The stated query set: vectors whose id is divisible by 50."""
+    return read_table(spark, d, "embeddings").where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
+
+
+def _fused(spark: SparkSession, d: str) -> DataFrame:
+    """BM25 over chunks fused with exact search over embeddings, a query's vector being that of its id among them."""
+    q = _queries(spark, d).withColumn("r", se.route(F.col("query"))).withColumn("alpha", F.col("r.alpha"))
+    emb = read_table(spark, d, "embeddings")
+    pairs = q.where("alpha > 0").select("query_id", (F.col("query_id") % 500).alias("vec_id"))
+    qv = pairs.join(emb, "vec_id").select("query_id", F.col("embedding").alias("qv"))
+    dense = se.knn(qv, emb, 20)
+    lexical = se.bm25(q.where("alpha < 1").select("query_id", "query"), read_table(spark, d, "chunks"), 20)
+    return se.fuse(lexical, dense, q.select("query_id", "alpha"), 10)
+
+
+@query
+def intent_route(spark: SparkSession, d: str) -> DataFrame:
+    return _queries(spark, d).select("query_id", se.route(F.col("query")).alias("r")).select("query_id", "r.intent", "r.strategy", "r.alpha")
+
+
+@query
+def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
+    return se.bm25(_queries(spark, d), read_table(spark, d, "chunks"))
+
+
+@query
+def bm25_filtered(spark: SparkSession, d: str) -> DataFrame:
+    allowed = read_table(spark, d, "pdf_documents").where("status = 'indexed'").select(F.col("id").alias("doc_id"))
+    return se.bm25(_queries(spark, d), read_table(spark, d, "chunks"), allowed=allowed)
+
+
+@query
+def knn_l2(spark: SparkSession, d: str) -> DataFrame:
+    return se.knn(_vector_queries(spark, d), read_table(spark, d, "embeddings"))
+
+
+@query
+def knn_filtered(spark: SparkSession, d: str) -> DataFrame:
+    return se.knn(_vector_queries(spark, d), read_table(spark, d, "embeddings"), where=F.col("label") < 3)
+
+
+@query
+def rrf_fuse(spark: SparkSession, d: str) -> DataFrame:
+    return _fused(spark, d)
+
+
+@query
+def hybrid_enriched(spark: SparkSession, d: str) -> DataFrame:
+    hits = se.enrich(_fused(spark, d), *(read_table(spark, d, t) for t in ("chunks", "pdf_documents", "sections")))
+    return hits.select("query_id", "rank", "chunk_id", "score", "source", "doc_id", "page_number", "filename", "document_title", "section_title")
+
+
+@query
+def context_expand(spark: SparkSession, d: str) -> DataFrame:
+    return se.neighbours(read_table(spark, d, "chunks")).select("id", "doc_id", F.md5("expanded").alias("expanded_md5"), F.length("expanded").alias("expanded_length"))
+
+
+@query
+def fallback_text(spark: SparkSession, d: str) -> DataFrame:
+    return se.text_fallback(_queries(spark, d), read_table(spark, d, "documents"))
+
+
+@query
+def clean_text(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "documents").select("doc_id", F.md5(clean.clean(F.col("text"), with_nfkc=False)).alias("clean_md5"))
+
+
+@query
+def clean_nfkc(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "documents").select("doc_id", clean.clean(F.col("text")).alias("clean_text"))
+
+
+@query
+def header_footer(spark: SparkSession, d: str) -> DataFrame:
+    return clean.repeated_edges(read_table(spark, d, "page_results"))
+
+
+@query
+def drop_header_footer(spark: SparkSession, d: str) -> DataFrame:
+    pages = read_table(spark, d, "page_results")
+    docs = extract.full_text(pages).withColumnRenamed("text", "content")
+    return clean.drop_repeated_edges(docs, clean.repeated_edges(pages)).select("doc_id", F.md5("content").alias("content_md5"))
+
+
+@query
+def parse_sections(spark: SparkSession, d: str) -> DataFrame:
+    s = parse.parse_sections(read_table(spark, d, "pdf_documents"))
+    return s.select("doc_id", "order_index", "section_type", "title", "level", F.md5("content").alias("content_md5"))
+
+
+@query
+def unified_tree(spark: SparkSession, d: str) -> DataFrame:
+    t = parse.document_tree(read_table(spark, d, "sections").distinct())
+    v = F.try_variant_get(F.try_parse_json("tree"), "$.sections", "array<struct<order_index:int,title:string>>")
+    return t.withColumn("s", v).select("doc_id", F.size("s").alias("n_sections"), F.md5(F.array_join(F.array_sort(F.transform("s", lambda x: F.concat_ws(":", x["order_index"].cast("string"), x["title"]))), "|")).alias("titles_md5"))
+
+
+@query
+def chunk_docs(spark: SparkSession, d: str) -> DataFrame:
+    return chunk.chunk_texts(read_table(spark, d, "pdf_documents")).drop("content")
+
+
+@query
+def doc_type(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", enrich.document_type(F.col("text")).alias("found_type"))
+
+
+@query
+def keywords_top10(spark: SparkSession, d: str) -> DataFrame:
+    return enrich.keywords(read_table(spark, d, "documents"), "doc_id", "text")
+
+
+@query
+def word_count(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", enrich.word_count(F.col("text")).alias("word_count"))
+
+
+@query
+def embed_chunks(spark: SparkSession, d: str) -> DataFrame:
+    return embed.embed(read_table(spark, d, "chunks"))
+
+
+@query
+def rule_entities(spark: SparkSession, d: str) -> DataFrame:
+    return graph.entity_counts(graph.usable_entities(graph.rule_entities(read_table(spark, d, "chunks"))))
+
+
+def _brands(spark: SparkSession, d: str) -> DataFrame:
+    """An order is a sentence, a line's brand an entity in it."""
+    items, parts = read_table(spark, d, "lineitem"), read_table(spark, d, "part")
+    return items.join(parts, items["l_partkey"] == parts["p_partkey"]).select(F.col("l_orderkey").alias("sentence"), F.col("l_linenumber").alias("pos"), F.col("p_brand").alias("name"), F.col("l_suppkey").alias("doc_id"), F.lit("BRAND").alias("label"))
+
+
+@query
+def entity_upsert_counts(spark: SparkSession, d: str) -> DataFrame:
+    return graph.entity_counts(_brands(spark, d))
+
+
+@query
+def cooccurrence_edges(spark: SparkSession, d: str) -> DataFrame:
+    e = graph.cooccurrences(_brands(spark, d), ["sentence"])
+    return e.groupBy("source_entity", "target_entity", "relation_type").agg(F.count("*").alias("weight"))
+
+
+@query
+def edge_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return graph.edges_of(graph.cooccurrences(_brands(spark, d), ["sentence"]), "Brand#1").select("sentence", "source_entity", "target_entity", "confidence")
+
+
+@query
+def entity_name_search(spark: SparkSession, d: str) -> DataFrame:
+    e = graph.entity_counts(_brands(spark, d)).groupBy("name").agg(F.sum("count").alias("count"))
+    return graph.search_names(e, "bRAND#1")
+
+
+@query
+def entity_types(spark: SparkSession, d: str) -> DataFrame:
+    return api.entity_types(read_table(spark, d, "sections").select(F.col("section_type").alias("entity_type")))
+
+
+@query
+def dedup_sha256(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "pdf_documents").where("content IS NOT NULL").select("id", "filename", "content").distinct()
+    return validate.first_copies(docs, F.sha2("content", 256), ("filename", "id")).select("id", "filename", "is_first")
+
+
+@query
+def validation_report(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "pdf_documents").select("filename", "file_size_bytes", "content").distinct()
+    magic = F.when(F.length("filename") % 7 == 0, F.lit("PK")).otherwise("%PDF-")
+    files = docs.select(F.col("filename").alias("path"), F.col("file_size_bytes").alias("length"), F.concat(magic, F.coalesce("content", F.lit(""))).cast("binary").alias("content"))
+    return validate.validate_files(files, max_bytes=250_000).select("path", "passed", "summary")
+
+
+@query
+def document_upsert(spark: SparkSession, d: str) -> DataFrame:
+    old = read_table(spark, d, "pdf_documents").select("id", "filename", "title", "status")
+    new = old.where("id % 10 = 0").select((F.col("id") + 1_000_000).alias("id"), F.when(F.col("id") % 20 == 0, F.col("filename")).otherwise(F.concat(F.lit("new-"), "filename")).alias("filename"), F.lit("revised").alias("title"), F.lit("extracted").alias("status"))
+    return store.upsert(old, new, "filename", ("id",))
+
+
+@query
+def delete_reprocessed(spark: SparkSession, d: str) -> DataFrame:
+    todo = read_table(spark, d, "pdf_documents").where("status <> 'indexed'").select(F.col("id").alias("doc_id"))
+    return store.delete_by(read_table(spark, d, "chunks").select("id", "doc_id"), todo, "doc_id")
+
+
+@query
+def composed_text(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "pdf_documents").where("content IS NOT NULL").distinct()
+    return docs.select("id", F.sha2(store.compose_text(F.col("title"), F.col("author"), F.col("page_count"), F.col("content")), 256).alias("text_sha256"))
+
+
+@query
+def missing_hashes(spark: SparkSession, d: str) -> DataFrame:
+    c = read_table(spark, d, "chunks").select("id", "doc_id", "content_hash").distinct()
+    return store.missing_hashes(c, c.where("id % 3 = 0")).select("id", "doc_id", "content_hash")
+
+
+@query
+def table_counts(spark: SparkSession, d: str) -> DataFrame:
+    return store.table_counts({t: read_table(spark, d, t) for t in ("pdf_documents", "sections", "chunks", "chunk_embeddings", "search_logs", "documents", "page_results")})
+
+
+@query
+def recent_logs(spark: SparkSession, d: str) -> DataFrame:
+    return api.recent_logs(read_table(spark, d, "search_logs").distinct()).select("id", "query", "intent")
+
+
+@query
+def log_stats(spark: SparkSession, d: str) -> DataFrame:
+    logs = read_table(spark, d, "search_logs").distinct()
+    return logs.groupBy("strategy", "intent").agg(F.count("*").alias("n"), F.sum("results_count").alias("results"), F.round(F.avg("latency_ms"), 4).alias("mean_latency"))
+
+
+@query
+def page_method_counts(spark: SparkSession, d: str) -> DataFrame:
+    return extract.method_counts(read_table(spark, d, "page_results"))
+
+
+@query
+def page_text_agg(spark: SparkSession, d: str) -> DataFrame:
+    return extract.full_text(read_table(spark, d, "page_results")).select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@query
+def layout_elements(spark: SparkSession, d: str) -> DataFrame:
+    return extract.layout_elements(read_table(spark, d, "page_results"))
+
+
+@query
+def layout_summary(spark: SparkSession, d: str) -> DataFrame:
+    return extract.layout_summary(extract.layout_elements(read_table(spark, d, "page_results")))
+
+
+@query
+def page_flags(spark: SparkSession, d: str) -> DataFrame:
+    return extract.page_flags(read_table(spark, d, "page_results"))
+
+
+@query
+def gutter_detect(spark: SparkSession, d: str) -> DataFrame:
+    chars = read_table(spark, d, "events").select(F.col("user_id").alias("page"), F.abs("value").alias("x0"), F.lit(200.0).alias("width"))
+    return extract.gutters(chars)
+
+
+@query
+def status_pending(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "pdf_documents").where("status <> 'indexed'").select("id", "filename").distinct()
+    done = read_table(spark, d, "chunks").where("token_count > 0 AND page_number > 2").select(F.col("doc_id").alias("id")).distinct()
+    return docs.join(done, "id", "left_anti")
+
+
+@query
+def documents_by_status(spark: SparkSession, d: str) -> DataFrame:
+    return api.documents(read_table(spark, d, "pdf_documents").distinct(), "indexed").select("id", "filename", "doc_type", "language")
+
+
+@query
+def representation_lookup(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "long").alias("k"))
+
+
+@query
+def events_tumbling(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.windowed_counts(read_table(spark, d, "events"))
+
+
+@query
+def cube_lineitem(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
+
+
+@query
+def setops_docs(spark: SparkSession, d: str) -> DataFrame:
+    docs, sections, chunks = (read_table(spark, d, t) for t in ("pdf_documents", "sections", "chunks"))
+    of = lambda df: df.select(F.col("doc_id").alias("id"))
+    return docs.select("id").intersect(of(sections)).unionByName(of(chunks).subtract(docs.select("id"))).distinct()
