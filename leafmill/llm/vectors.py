@@ -8,6 +8,7 @@ the true neighbours of a sample of vectors; the shards' results are merged, and
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -19,20 +20,20 @@ from leafmill.llm.graph import SmallWorld
 from leafmill.session import materialise
 
 #: Vectors of a shard, about, and vectors that one task looks up at most.
-SHARD, LOOKUPS = 16_000, 250_000
+SHARD, LOOKUPS = 24_000, 250_000
 #: Vectors, a space, that the centroids are fitted on; rounds of fitting.
 SAMPLE, ROUNDS = 20_000, 8
-#: Vectors, a space, whose true neighbours say how many shards must be asked, and the share of those that must lie in them.
-PROBED, COVERAGE = 300, 0.985
+#: Vectors, a space, whose true neighbours say how many shards must be asked, and the share of those that must lie in them; as an edge needs to be found from one end only, fewer are missed.
+PROBED, COVERAGE = 300, 0.9
 #: Candidates followed in a search.
-WIDTH = 20
-#: More than k are kept until similarities are exact, as vectors travel in half precision.
-SPARE = 4
+WIDTH = 16
+#: More than k are kept until similarities are exact, as vectors travel in bytes, which errs by less than SLACK.
+SPARE, SLACK = 4, 0.03
 MAX_SPACES = 10_000
 
 
-def usable_vectors(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """(id, space, v): vectors whose blob holds exactly `dimensions` floats, all finite, not all zero; v has length 1, as little-endian float32. Repeated rows once."""
+def _usable(df: DataFrame, id_col: str, what: str) -> DataFrame:
+    """(id, space, d) or (id, space, v): a digest of each usable vector's direction, or the unit vector itself as little-endian float32. Nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -42,12 +43,19 @@ def usable_vectors(df: DataFrame, id_col: str = "id") -> DataFrame:
                 if np.isfinite(v).all() and (norm := np.sqrt(v @ v)) > 0:
                     ids.append(i)
                     spaces.append(f"{dim}:{model}")
-                    out.append((v / norm).astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(spaces, pa.string()), pa.array(out, pa.binary())], ["id", "space", "v"])
+                    unit = (v / norm).astype("<f4").tobytes()
+                    out.append(unit if what == "v" else md5(unit).digest())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(spaces, pa.string()), pa.array(out, pa.binary())], ["id", "space", what])
 
     fits = (F.col("dimensions") > 0) & (F.octet_length("vector_blob") == 4 * F.col("dimensions")) & F.col(id_col).isNotNull() & F.col("model_name").isNotNull()
     rows = df.where(fits).select(F.col(id_col).cast("long"), "model_name", "dimensions", "vector_blob")
-    return rows.mapInArrow(run, "id long, space string, v binary").groupBy("id").agg(F.min_by("space", F.struct("space", "v")).alias("space"), F.min_by("v", F.struct("space", "v")).alias("v"))
+    return rows.mapInArrow(run, f"id long, space string, {what} binary")
+
+
+def _bytes(x: np.ndarray) -> list[bytes]:
+    """Vectors as one signed byte a component, each stretched to its own largest; only directions count."""
+    top = np.maximum(np.abs(x).max(1, keepdims=True), 1e-12)
+    return [r.tobytes() for r in np.rint(x * (127 / top)).astype(np.int8)]
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
@@ -55,7 +63,8 @@ def _matrix(column: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
     if not len(column):
         return np.zeros((0, 1), np.float32)
     raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, kind).reshape(len(column), -1).astype(np.float32)
+    x = np.frombuffer(raw, kind).reshape(len(column), -1).astype(np.float32)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
 def fit_centroids(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -77,11 +86,11 @@ def _sampled(reps: DataFrame, sizes: dict[str, int], most: int, salt: int) -> di
     """About `most` vectors of each space, chosen by a digest of their ids: space -> (ids, vectors)."""
     spark = reps.sparkSession
     share = spark.createDataFrame([(s, int(min(1.0, most / n) * 1_000_000)) for s, n in sizes.items()], "space string, upto long")
-    got = reps.join(F.broadcast(share), "space").where(F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1_000_000)) < F.col("upto")).select("space", "id", "v").toArrow()
+    got = reps.join(F.broadcast(share), "space").where(F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1_000_000)) < F.col("upto")).select("space", "id", "h").toArrow()
     out = {}
     for s in sizes:
         one = got.filter(pa.compute.equal(got["space"], s)).sort_by("id")
-        out[s] = (one["id"].to_numpy(), _matrix(one["v"], "<f4"))
+        out[s] = (one["id"].to_numpy(), _matrix(one["h"], "i1"))
     return out
 
 
@@ -95,7 +104,7 @@ def _probes(reps: DataFrame, centroids: dict[str, np.ndarray], queries: dict[str
             spaces = np.array(b.column("space").to_pylist(), object)
             for s in set(spaces):
                 at = np.flatnonzero(spaces == s)
-                x = _matrix(b.column("v").take(pa.array(at)), "<f4")
+                x = _matrix(b.column("h").take(pa.array(at)), "i1")
                 qi, q = queries[s]
                 if not len(q):
                     continue
@@ -110,14 +119,14 @@ def _probes(reps: DataFrame, centroids: dict[str, np.ndarray], queries: dict[str
                 t = top.ravel()
                 yield pa.RecordBatch.from_arrays([pa.array([s] * len(rows)), pa.array(qi[rows]), pa.array(sims[rows, t].astype(np.float64)), pa.array(rank[rows, home[t]].astype(np.int64))], ["space", "q", "sim", "rank"])
 
-    found = reps.select("id", "space", "v").mapInArrow(run, "space string, q long, sim double, rank long")
+    found = reps.select("id", "space", "h").mapInArrow(run, "space string, q long, sim double, rank long")
     best = found.withColumn("r", F.row_number().over(W.partitionBy("space", "q").orderBy(F.desc("sim"), "rank"))).where(f"r <= {k} AND sim > -2")
     asked = best.groupBy("space").agg(F.percentile("rank", F.lit(COVERAGE)).alias("p")).collect()
     return {r["space"]: int(np.ceil(r["p"])) + 1 for r in asked}
 
 
-def _edges(reps: DataFrame, k: int) -> DataFrame:
-    """(space, a, b): candidate neighbours among distinct vectors, from either end, with similarity `s` in half precision; at least k + SPARE a vector where there are as many."""
+def _edges(reps: DataFrame, k: int, at_least: float = -2.0) -> DataFrame:
+    """(space, a, b): candidate neighbours among distinct vectors, from either end, with similarity `s` from bytes; at least k + SPARE a vector where there are as many of that similarity."""
     spark = reps.sparkSession
     sizes = {r["space"]: r["count"] for r in reps.groupBy("space").count().limit(MAX_SPACES + 1).collect()}
     if len(sizes) > MAX_SPACES:
@@ -136,13 +145,12 @@ def _edges(reps: DataFrame, k: int) -> DataFrame:
             spaces = np.array(b.column("space").to_pylist(), object)
             for s in set(spaces):
                 at = np.flatnonzero(spaces == s)
-                x = _matrix(b.column("v").take(pa.array(at)), "<f4")
+                x = _matrix(b.column("h").take(pa.array(at)), "i1")
                 near = (-(x @ centroids[s].T)).argsort(1)[:, : probes.get(s, 1)].astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32)), pa.array(near.ravel()))
-                half = [r.tobytes() for r in x.astype("<f2")]
-                yield pa.RecordBatch.from_arrays([pa.array([s] * len(at)), pa.array(b.column("id").to_numpy()[at]), lists, pa.array(half, pa.binary())], ["space", "id", "near", "h"])
+                yield pa.RecordBatch.from_arrays([pa.array([s] * len(at)), pa.array(b.column("id").to_numpy()[at]), lists, b.column("h").take(pa.array(at))], ["space", "id", "near", "h"])
 
-    routed = materialise(reps.select("id", "space", "v").mapInArrow(route, "space string, id long, near array<int>, h binary"))
+    routed = materialise(reps.select("id", "space", "h").mapInArrow(route, "space string, id long, near array<int>, h binary"))
     visits = routed.select("space", "id", F.posexplode("near").alias("far", "shard"))
     load = visits.groupBy("space", "shard").agg(F.count_if(F.col("far") == 0).alias("members"), F.count("*").alias("lookups")).orderBy("space", "shard").collect()
     slots, first = [], 0  # as many rows as shards; a shard grown too large is a few graphs, one asked too often a few tasks
@@ -167,7 +175,7 @@ def _edges(reps: DataFrame, k: int) -> DataFrame:
             return
         t = pa.Table.from_batches(got)
         ids, member, asks = t["id"].to_numpy(), t["member"].to_numpy(), t["asks"].to_numpy()
-        x = _matrix(t["h"], "<f2")
+        x = _matrix(t["h"], "i1")
         inside = np.flatnonzero(member)
         inside = inside[np.argsort(ids[inside], kind="stable")]
         inner = ids[inside]
@@ -179,7 +187,7 @@ def _edges(reps: DataFrame, k: int) -> DataFrame:
             at, sims = world.search(x[part], n + 1, WIDTH)
             a, b = np.repeat(ids[part], n + 1), np.where(at >= 0, inner[at] if len(inner) else -1, -1).ravel()
             s = sims.ravel()
-            ok = (b >= 0) & (a != b)
+            ok = (b >= 0) & (a != b) & (s >= at_least)
             yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok]), pa.array(s[ok])], ["a", "b", "s"])
 
     found = sent.repartitionById(first, "slot").mapInArrow(search, "a long, b long, s float")
@@ -190,10 +198,11 @@ def _edges(reps: DataFrame, k: int) -> DataFrame:
     return both.withColumn("r", r).where(f"r <= {k + SPARE}").drop("r")
 
 
-def _exact(edges: DataFrame, reps: DataFrame) -> DataFrame:
-    """(a, b, cosine) in double precision, each pair worked out once."""
-    v = reps.select("id", "v")
-    pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _exact(edges: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(a, b, cosine) in double precision, each pair worked out once; only vectors with an edge are fetched."""
+    pairs = materialise(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    v = materialise(vectors.join(needed, "id", "left_semi").groupBy("id").agg(F.min("v").alias("v")))
     j = pairs.join(v.withColumnsRenamed({"id": "a", "v": "va"}), "a").join(v.withColumnsRenamed({"id": "b", "v": "vb"}), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,36 +210,46 @@ def _exact(edges: DataFrame, reps: DataFrame) -> DataFrame:
             cos = [float(np.frombuffer(x, "<f4").astype(np.float64) @ np.frombuffer(y, "<f4").astype(np.float64)) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cos, pa.float64())], ["a", "b", "cosine"])
 
-    once = j.select("a", "b", "va", "vb").mapInArrow(run, "a long, b long, cosine double")
-    return once
+    return j.select("a", "b", "va", "vb").mapInArrow(run, "a long, b long, cosine double")
 
 
-def _spaces(df: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """(id, rep) of every usable vector, rep being the smallest id with the very same direction; and the distinct vectors (id, space, v, same), `same` the k + 1 smallest ids of each."""
-    vec = materialise(usable_vectors(df))
-    by = vec.withColumn("d", F.sha2("v", 256)).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
+def _spaces(df: DataFrame, k: int, id_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, rep) of every usable vector, rep being the smallest id with the very same direction; the distinct ones' groups (id, same), `same` being
+    the k + 1 smallest ids of each; and (id, space, h), the distinct vectors in bytes. Only digests are shuffled to find copies."""
+    rows = materialise(_usable(df, id_col, "d").groupBy("id").agg(F.min(F.struct("space", "d")).alias("x")).select("id", "x.space", "x.d"))
+    by = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
     # copies are folded in two steps, so no list is longer than a salted share of one group
     part = by.groupBy("space", "d", "salt").agg(F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("ids"))
     whole = materialise(part.groupBy("space", "d").agg(F.slice(F.sort_array(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("same")))
-    members = by.select("id", "space", "d").join(whole, ["space", "d"]).select("id", F.element_at("same", 1).alias("rep"))
-    reps = vec.join(whole.select(F.element_at("same", 1).alias("id"), "same"), "id")
-    return materialise(members), materialise(reps)
+    members = rows.join(whole, ["space", "d"]).select("id", F.element_at("same", 1).alias("rep"))
+    same = whole.select(F.element_at("same", 1).alias("id"), "same", "space", "d")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v = b.column(2).to_pylist()
+            h: list = [None] * len(v)
+            for width in set(map(len, v)):
+                at = [i for i, x in enumerate(v) if len(x) == width]
+                for i, x in zip(at, _bytes(np.frombuffer(b"".join(v[i] for i in at), "<f4").reshape(len(at), -1)), strict=True):
+                    h[i] = x
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([md5(x).digest() for x in v], pa.binary()), pa.array(h, pa.binary())], ["id", "space", "d", "h"])
+
+    small = _usable(df, id_col, "v").mapInArrow(pack, "id long, space string, d binary, h binary")
+    reps = small.join(same.select("id", "space", "d"), ["id", "space", "d"]).groupBy("id").agg(F.min("space").alias("space"), F.min("h").alias("h"))
+    return materialise(members), same.select("id", "same"), materialise(reps)
 
 
-def nearest(df: DataFrame, k: int = 10, at_least: float | None = None) -> DataFrame:
+def nearest(df: DataFrame, k: int = 10, at_least: float | None = None, id_col: str = "id") -> DataFrame:
     """(id, neighbour_id, cosine, rank): the k most similar other vectors of the same model and length for every usable vector of (id, model_name, dimensions, vector_blob).
 
     Ties go to the smaller id. Copies of one vector are searched for once; every one of them gets its list, other copies first. Vectors that
     aren't usable (null, cut, padded, all-zero or non-finite blobs, wrong dimensions, null models) have none and are no one's neighbour. Repeated rows
     count once; empty tables give empty results. `at_least` keeps neighbours of that cosine or more; ranks are the same as without.
     """
-    members, reps = _spaces(df, k)
-    edges = _edges(reps, k)
-    if at_least is not None:
-        edges = edges.where(F.col("s") >= at_least - 0.02)  # half precision errs by far less
-    exact = materialise(_exact(materialise(edges), reps))
+    members, same, reps = _spaces(df, k, id_col)
+    edges = materialise(_edges(reps, k, -2.0 if at_least is None else at_least - SLACK))
+    exact = materialise(_exact(edges, _usable(df, id_col, "v").select("id", "v")))
     exact = exact.unionByName(exact.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
-    same = reps.select("id", "same")
     others = exact.join(same, exact["b"] == same["id"]).select(F.col("a").alias("rep"), F.explode("same").alias("neighbour_id"), "cosine")
     own = same.where("size(same) > 1").select(F.col("id").alias("rep"), F.explode("same").alias("neighbour_id"), F.lit(1.0).alias("cosine"))
     r = F.row_number().over(W.partitionBy("rep").orderBy(F.desc("cosine"), "neighbour_id"))
