@@ -206,7 +206,7 @@ ORACLES["composed_text"] = """SELECT id, sha256(CASE WHEN coalesce(title, '') <>
 ORACLES["missing_hashes"] = "WITH c AS (SELECT DISTINCT id, doc_id, content_hash FROM chunks) SELECT id, doc_id, content_hash FROM c WHERE NOT EXISTS (SELECT 1 FROM c x WHERE x.id % 3 = 0 AND x.doc_id = c.doc_id AND x.content_hash = c.content_hash)"
 ORACLES["table_counts"] = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in ("pdf_documents", "sections", "chunks", "chunk_embeddings", "search_logs", "documents", "page_results"))
 ORACLES["recent_logs"] = "SELECT id, query, intent FROM (SELECT DISTINCT * FROM search_logs) ORDER BY id DESC LIMIT 50"
-ORACLES["log_stats"] = "SELECT strategy, intent, count(*) AS n, CAST(sum(results_count) AS BIGINT) AS results, round(avg(latency_ms), 4) AS mean_latency FROM (SELECT DISTINCT * FROM search_logs) GROUP BY strategy, intent"
+ORACLES["log_stats"] = "SELECT strategy, intent, count(*) AS n, CAST(sum(results_count) AS BIGINT) AS results, CAST(sum(CAST(latency_ms AS DECIMAL(18,3))) AS DOUBLE) AS total_latency FROM (SELECT DISTINCT * FROM search_logs) GROUP BY strategy, intent"
 ORACLES["page_method_counts"] = "SELECT doc_id, count(*) AS pages, count(*) FILTER (method = 'pdfplumber') AS pdfplumber, count(*) FILTER (method = 'ocr') AS ocr, count(*) FILTER (method = 'empty') AS empty FROM (SELECT DISTINCT doc_id, page_number, method FROM page_results) GROUP BY doc_id"
 
 _PN = rf"(?i)^(?:{_S}*[-–—]?{_S}*[0-9]{{1,4}}{_S}*[-–—]?{_S}*|Page{_S}+[0-9]+.*)$"

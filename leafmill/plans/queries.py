@@ -256,7 +256,7 @@ def recent_logs(spark: SparkSession, d: str) -> DataFrame:
 @query
 def log_stats(spark: SparkSession, d: str) -> DataFrame:
     logs = read_table(spark, d, "search_logs").distinct()
-    return logs.groupBy("strategy", "intent").agg(F.count("*").alias("n"), F.sum("results_count").alias("results"), F.round(F.avg("latency_ms"), 4).alias("mean_latency"))
+    return logs.groupBy("strategy", "intent").agg(F.count("*").alias("n"), F.sum("results_count").alias("results"), F.sum(F.col("latency_ms").cast("decimal(18,3)")).cast("double").alias("total_latency"))
 
 
 @query
