@@ -39,6 +39,11 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return scan.noisy_lines(read_table(spark, d, "page_results"))
 
 
+@query
+def p3_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return scan.repaired_pages(read_table(spark, d, "page_results"))
+
+
 def _qualities(spark: SparkSession, d: str) -> DataFrame:
     texts = both_tables(lambda df, _: df, spark, d)
     return quality.classify(texts, read_table(spark, d, "common_words"), ("source_table", "id"))

@@ -384,7 +384,7 @@ def _hyphens(pairs: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def read_noise(page_results: DataFrame) -> dict[str, DataFrame]:
-    """All that is found on pages read by OCR: `pages`, `furniture`, `hyphens` (with the joined word), `words` (with what was printed), `marks`.
+    """All that is found on pages read by OCR: `pages`, `furniture`, `hyphens` (with the joined word), `words` (with what was printed), `fixed` (those and broken words), `marks`.
 
     Null pages, numbers and texts are no lines; blank pages have none. Repeated rows count once. Other columns are ignored. Empty tables give empty results.
     """
@@ -411,7 +411,8 @@ def read_noise(page_results: DataFrame) -> dict[str, DataFrame]:
     cut = F.length(F.ltrim(F.lower("a"), F.lit(EDGE)))
     first = broken.where(F.exists("at", lambda x: x < cut)).select("doc_id", "page_number", "line_no")
     second = broken.where(F.exists("at", lambda x: x >= cut)).select("doc_id", F.col("page2").alias("page_number"), F.col("line2").alias("line_no"))
-    return {"pages": pages, "furniture": gone, "hyphens": hyphens.where("solid"), "words": words, "marks": events.where("what = 'mark'").select("doc_id", "page_number", "line_no").unionByName(first).unionByName(second)}
+    fixed = words.unionByName(broken.select("doc_id", "page_number", "line_no", fixes["word"], "printed", "at"))
+    return {"pages": pages, "furniture": gone, "hyphens": hyphens.where("solid"), "words": words, "fixed": fixed, "marks": events.where("what = 'mark'").select("doc_id", "page_number", "line_no").unionByName(first).unionByName(second)}
 
 
 def noisy_lines(page_results: DataFrame) -> DataFrame:
@@ -420,3 +421,74 @@ def noisy_lines(page_results: DataFrame) -> DataFrame:
     hyphen = got["hyphens"].select("doc_id", "page_number", "line_no", F.lit("hyphen").alias("kind"))
     ocr = got["marks"].unionByName(got["words"].select("doc_id", "page_number", "line_no")).distinct().withColumn("kind", F.lit("ocr"))
     return got["furniture"].unionByName(hyphen).unionByName(ocr).distinct()
+
+
+_ITEM = re.compile(r"\s*(?:[-–•▪*]|\(?\d{1,3}[.)]|\(?[a-z][.)]|\d+(?:\.\d+)+)\s")
+
+
+def _mended(token: str, fixes: dict[str, str]) -> str:
+    """A token with the printed word in place of the read one; punctuation around it and a large first letter stay."""
+    w = _bare(token)
+    shown = fixes.get(w + "!") if token.endswith("!") else None
+    w, shown = (w + "!", shown) if shown else (w, fixes.get(w))
+    at = token.lower().find(w) if shown else -1
+    if at < 0:
+        return token
+    old = token[at : at + len(w)]
+    new = shown.upper() if old.isupper() and len(old) > 1 else shown[:1].upper() + shown[1:] if old[:1].isupper() else shown
+    return token[:at] + new + token[at + len(w) :]
+
+
+def repair_text(text: str, gone: set[int], hyphens: dict[int, str], headless: set[int], fixes: dict[str, str]) -> str:
+    """A page's text in paragraphs: lines in `gone` left out, `hyphens` (line -> the word that its end and the next line make) put together, the first
+    word of the lines in `headless` dropped as it has moved up, misread words of `fixes` and stray marks mended. A blank line ends a paragraph unless the next begins
+    small and the last hasn't ended its sentence; list items and headings keep lines of their own."""
+    out: list[str] = []
+    fresh, skip_first = True, False
+    for no, line in enumerate(text.split("\n"), 1):
+        if no in gone:
+            continue
+        tokens = line.split()
+        if not tokens:
+            fresh = True
+            continue
+        item = bool(_ITEM.match(line))
+        tokens = tokens[1:] if skip_first or no in headless else tokens
+        skip_first = no in hyphens
+        if skip_first and tokens:
+            tokens[-1] = hyphens[no]
+        tokens = [t for k, t in enumerate(tokens) if not (k and _STRAY.fullmatch(t) and t not in "|=+<>#&@§*_•")]
+        said = " ".join(_mended(_INSIDE.sub("", t), fixes) for t in tokens)
+        if not said:
+            continue
+        goes_on = out and not item and (not fresh or (said[0].islower() and out[-1][-1] not in ".!?:"))
+        if goes_on:
+            out[-1] += " " + said
+        else:
+            out.append(("" if fresh or not out else "\n") + said)
+        fresh = False
+    return "".join(p if p.startswith("\n") or not k else "\n\n" + p for k, p in enumerate(out))
+
+
+def repaired_pages(page_results: DataFrame) -> DataFrame:
+    """(doc_id, page_number, text): the text of each page read by OCR as continuous paragraphs.
+
+    A word that goes on over the page's end stands whole on the page where it begins. Characters that can't be read at all stay marked as such. Pages without text give no row.
+    """
+    got = read_noise(page_results)
+    page = ["doc_id", "page_number"]
+    gone = got["furniture"].groupBy(*page).agg(F.collect_set("line_no").alias("gone"))
+    ends = got["hyphens"].groupBy(*page).agg(F.collect_list(F.struct("line_no", F.concat("a", "b").alias("word"))).alias("ends"))
+    heads = got["hyphens"].where("page2 <> page_number").select("doc_id", F.col("page2").alias("page_number"), "line2").groupBy(*page).agg(F.collect_set("line2").alias("heads"))
+    fixed = got["fixed"].groupBy(*page).agg(F.collect_set(F.struct("word", "printed")).alias("fixed"))
+    j = got["pages"].select(*page, "text")
+    for side in (gone, ends, heads, fixed):  # each has at most a few rows a line of a page
+        j = j.join(side, page, "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(*(b.column(c).to_pylist() for c in ("text", "gone", "ends", "heads", "fixed")), strict=True)
+            texts = [repair_text(t, set(g or ()), {e["line_no"]: e["word"] for e in n or ()}, set(h or ()), {f["word"]: f["printed"] for f in x or ()}) for t, g, n, h, x in rows]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("page_number"), pa.array(texts, pa.string())], ["doc_id", "page_number", "text"])
+
+    return j.mapInArrow(run, "doc_id long, page_number int, text string").where("text <> ''")

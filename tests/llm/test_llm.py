@@ -271,3 +271,18 @@ def test_noisy_lines(spark):
         (1, 1, 1, "header"), (1, 2, 1, "header"), (1, 4, 1, "header"), (1, 1, 7, "page_no"), (1, 2, 5, "page_no"), (1, 4, 6, "page_no"), (1, 1, 3, "hyphen"), (1, 2, 3, "hyphen"), (1, 2, 2, "ocr"), (1, 2, 3, "ocr"),
     }
     assert scan.noisy_lines(df.limit(0)).collect() == []
+
+
+def test_repair_text():
+    text = "Head\nment of the old com-\npany; the comm!ttee \u00a6 met.\nIt was\n\n- an item\n- ano`ther\n\nNew part goes\n\non here\nand the depart-\n\n7"
+    got = scan.repair_text(text, {1, 14}, {2: "company;", 12: "department"}, {2}, {"comm!ttee": "committee"})
+    assert got == "of the old company; the committee met. It was\n\n- an item\n- another\n\nNew part goes on here and the department"
+
+
+def test_repaired_pages(spark):
+    word = "committee reviewed the measurement of weather records in every department of the company"
+    pages = [(9, p, f"{word}\n{word}\n", "pdfplumber", True) for p in range(40)]
+    pages += [(1, 1, "the comm!ttee of the depart-\nment in every\ndepart-\nPage 1", "ocr", True), (1, 3, "ment of the\ncompany\nPage 2", "ocr", True), (1, 4, None, "ocr", False)]
+    df = spark.createDataFrame(pages, "doc_id long, page_number int, text string, method string, has_text boolean")
+    got = {r["page_number"]: r["text"] for r in scan.repaired_pages(df).collect()}
+    assert got == {1: "the committee of the department in every department", 3: "of the company"}
