@@ -234,7 +234,7 @@ def vocabulary(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            counts: Counter = Counter()
+            raw: Counter = Counter()
             for text in b.column(0).to_pylist():
                 broken = False
                 for line in text.split("\n"):
@@ -242,8 +242,11 @@ def vocabulary(pages: DataFrame) -> DataFrame:
                     if not tokens:
                         continue
                     ends = tokens[-1][-1] in END_MARKS and len(tokens[-1]) > 1
-                    counts.update(map(_bare, tokens[broken : len(tokens) - ends]))
+                    raw.update(tokens[broken : len(tokens) - ends])
                     broken = ends
+            counts: Counter = Counter()
+            for token, n in raw.items():  # each token once a batch
+                counts[_bare(token)] += n
             counts.pop("", None)
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
@@ -254,11 +257,34 @@ def vocabulary(pages: DataFrame) -> DataFrame:
 _EVENT = "doc_id long, page_number int, line_no int, what string, a string, page2 int, line2 int, b string"
 
 
+class _Kinds(dict):
+    """What a token is apart from its place: 0 fine, 1 marked, 2 a stray mark if it doesn't begin the line; else the rare word it holds."""
+
+    def __init__(self, known: set[str]) -> None:
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, t: str) -> int | str:
+        w = _bare(t)
+        if UNREADABLE in t or _INSIDE.search(t):
+            kind: int | str = 1
+        elif _STRAY.fullmatch(t) and t not in "|=+<>#&@§*_•":
+            kind = 2
+        elif _NUMBERISH.fullmatch(t.strip(EDGE)) and w not in self.known:
+            kind = 1
+        else:
+            kind = w if len(w) > 2 and w not in self.known and any(map(str.isalpha, w)) else 0
+        if len(self) > 500_000:
+            self.clear()
+        self[t] = kind
+        return kind
+
+
 def _events(frequent):
     """Per page: marks ('mark'), rare words ('word', or 'word0' where the page begins with it), words broken at line ends with what follows ('pair'), or with what follows on another page ('last'), and how the page begins ('first')."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frequent.value
+        kinds_of = _Kinds(frequent.value)
         for batch in batches:
             out: list[tuple] = []
             for doc, page, text, gone in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "page_number", "text", "gone")), strict=True):
@@ -276,18 +302,20 @@ def _events(frequent):
                         else:
                             out.append((doc, page, no, "last", last[:-1], None, None, None))
                     marked = False
-                    for at, t in enumerate(tokens):
-                        if UNREADABLE in t or _INSIDE.search(t) or (at and at < len(tokens) and _STRAY.fullmatch(t) and t not in "|=+<>#&@§*_" + "•"):
-                            marked = True
+                    for at, w in enumerate(map(kinds_of.__getitem__, tokens)):
+                        if not w:
                             continue
-                        if (carried and at == 0) or (ends and at == len(tokens) - 1):
+                        if w == 2:
+                            marked |= at > 0
+                        elif w == 1 and (UNREADABLE in tokens[at] or _INSIDE.search(tokens[at])):
+                            marked = True
+                        elif (carried and at == 0) or (ends and at == len(tokens) - 1):
                             continue
-                        w = _bare(t)
-                        if _NUMBERISH.fullmatch(t.strip(EDGE)) and w not in known:
+                        elif w == 1:
                             marked = True
-                        elif len(w) > 2 and w not in known and any(map(str.isalpha, w)):
+                        else:
                             out.append((doc, page, no, "word" if k or at else "word0", w, None, None, None))
-                            if t.endswith("!"):  # the last letter, perhaps
+                            if tokens[at].endswith("!"):  # the last letter, perhaps
                                 out.append((doc, page, no, "word" if k or at else "word0", w + "!", None, None, None))
                     if marked:
                         out.append((doc, page, no, "mark", None, None, None, None))
