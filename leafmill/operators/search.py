@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -11,6 +15,7 @@ from leafmill.session import broadcast_if_small
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 RRF_K = 60
+MAX_QUERIES = 100_000  # of one batch of vector queries, which every task holds
 DIGITS = 6  # scores are rounded before they are ranked or compared
 
 
@@ -66,16 +71,43 @@ def top(scored: DataFrame, k: int, by: str = "score", tie: str = "chunk_id") ->
 
 
 def knn(queries: DataFrame, vectors: DataFrame, top_k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", where: Column | None = None) -> DataFrame:
-    """(query_id, chunk_id, score, rank): exact nearest by squared distance d, score 1 / (1 + d); the query set (query_id, qv) is stated, and held by each task in blocks against all vectors.
+    """(query_id, chunk_id, score, rank): exact nearest by squared distance d, score 1 / (1 + d).
 
-    Vectors of another length than the query's, and null ones, don't match. The filter comes before the ranking, so it never shortens a list.
+    The stated query set (query_id, qv) is held by each task, after its size is checked, and compared with all vectors in blocks; each batch of vectors sends on
+    its own top_k of a query only. Vectors of another length than the query's, and null ones, don't match. The filter comes before the ranking, so it never shortens a list.
     """
     v = vectors if where is None else vectors.where(where)
-    v = v.where(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("chunk_id"), F.col(vec_col).cast("array<double>").alias("_v"))
-    q = broadcast_if_small(queries.select("query_id", F.col("qv").cast("array<double>").alias("_q")), 8 * 1024)
-    d = F.aggregate(F.zip_with("_q", "_v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-    scored = v.join(q, F.size("_v") == F.size("_q")).select("query_id", "chunk_id", F.round(1 / (1 + d), DIGITS).alias("score"))
-    return top(scored, top_k)
+    v = v.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("chunk_id"), F.col(vec_col).cast("array<double>").alias("_v"))
+    q = queries.where("qv IS NOT NULL").select(F.col("query_id").cast("long"), F.col("qv").cast("array<double>").alias("qv"))
+    rows = q.limit(MAX_QUERIES + 1).collect()
+    if len(rows) > MAX_QUERIES:
+        raise ValueError(f"over {MAX_QUERIES} queries; search in several batches")
+    by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for n in {len(r["qv"]) for r in rows}:
+        some = [r for r in rows if len(r["qv"]) == n]
+        by_length[n] = (np.array([r["query_id"] for r in some], np.int64), np.array([r["qv"] for r in some], np.float64))
+    shared = vectors.sparkSession.sparkContext.broadcast(by_length)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists, ids = b.column(1).to_pylist(), b.column(0).to_numpy(zero_copy_only=False)
+            for n, (qi, qv) in shared.value.items():
+                at = np.array([i for i, x in enumerate(lists) if len(x) == n and None not in x], np.int64)
+                if not n or not len(at):
+                    continue
+                at = at[np.argsort(ids[at], kind="stable")]
+                x = np.array([lists[i] for i in at], np.float64)
+                xx = (x * x).sum(1)
+                for i in range(0, len(qi), 256):
+                    block = qv[i : i + 256]
+                    d = np.maximum((block * block).sum(1)[:, None] + xx - 2 * block @ x.T, 0)
+                    score = np.round(1 / (1 + d), DIGITS)
+                    best = np.argsort(-score, axis=1, kind="stable")[:, :top_k]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(qi[i : i + 256], best.shape[1])), pa.array(ids[at][best].ravel()), pa.array(np.take_along_axis(score, best, 1).ravel())], ["query_id", "chunk_id", "score"]
+                    )
+
+    return top(v.mapInArrow(run, "query_id long, chunk_id long, score double"), top_k)
 
 
 def fuse(lexical: DataFrame, dense: DataFrame, weights: DataFrame, top_k: int = 10) -> DataFrame:
