@@ -198,6 +198,15 @@ def test_scores_are_exact_ranks(spark, common):
     assert quality.classify(df.limit(0), words).collect() == []
 
 
+def test_common_lists_are_lists(spark, common):
+    prose, items = "der Bericht und die Anlage der Stadt sind die Grundlage und der Plan der Jahre. " * 5, "- die Anlage\n- der Bericht\n- und Wasser"
+    df = spark.createDataFrame([(0, "- the plant\n- the office"), *((i, items) for i in range(1, 9)), (9, prose), (10, prose)], "id long, content string")
+    words = spark.createDataFrame([(v, k) for k, v in common.items()], "lang string, word string")
+    got = {r["id"]: (r["lang"], r["kind"], r["score"]) for r in quality.classify(df, words).collect()}
+    assert got[0] == ("en", "list", 0.0) and {got[i][:2] for i in range(1, 9)} == {("de", "list")} and got[1][2] < 0.5
+    assert got[9][:2] == got[10][:2] == ("de", "prose")
+
+
 # vectors
 
 
