@@ -41,7 +41,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p3_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    return scan.repaired_pages(read_table(spark, d, "page_results"))
+    return scan.repaired(read_table(spark, d, "page_results"), read_table(spark, d, "pdf_documents").select("id", "content"))
 
 
 def _qualities(spark: SparkSession, d: str) -> DataFrame:

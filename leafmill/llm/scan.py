@@ -467,43 +467,96 @@ def _mended(token: str, fixes: dict[str, str]) -> str:
     return token[:at] + new + token[at + len(w) :]
 
 
+#: A page's last line of at least this share of its longest line is no heading: without an end of sentence it goes on overleaf, whatever the next letter.
+FULL_LINE = 0.7
+
+
+class Paragraphs:
+    """Paragraphs put together from the lines of one page after another."""
+
+    def __init__(self) -> None:
+        self.out: list[str] = []
+        self.full = self.closed = False
+
+    def add_page(self, text: str, gone: set[int], hyphens: dict[int, str], headless: set[int], fixes: dict[str, str]) -> None:
+        out, lines = self.out, text.split("\n")
+        width = max((len(s.strip()) for i, s in enumerate(lines, 1) if i not in gone), default=0)
+        fresh, skip_first, overleaf, moved = True, False, bool(out), False
+        for no, line in enumerate(lines, 1):
+            if no in gone:
+                continue
+            tokens = line.split()
+            if not tokens:
+                fresh = True
+                continue
+            item = bool(_ITEM.match(line))
+            tokens = tokens[1:] if skip_first or no in headless else tokens
+            moved |= overleaf and no in headless
+            skip_first = no in hyphens
+            if skip_first and tokens:
+                tokens[-1] = hyphens[no]
+            tokens = [t for k, t in enumerate(tokens) if not (k and _STRAY.fullmatch(t) and t not in "|=+<>#&@§*_•")]
+            said = " ".join(_mended(_INSIDE.sub("", t), fixes) for t in tokens)
+            if not said:
+                continue
+            unended = out and out[-1][-1] not in ".!?:"
+            goes_on = out and not self.closed and (moved or not item and (not fresh or (unended and (said[0].islower() or (overleaf and self.full)))))
+            if goes_on:
+                out[-1] += " " + said
+            else:
+                out.append(("" if fresh or not out else "\n") + said)
+            fresh = overleaf = moved = self.closed = False
+            self.full = len(line.strip()) >= FULL_LINE * width
+
+    def keep(self, raw: str) -> None:
+        """Text that is no scanned page's stays as it is; no paragraph runs into it or out of it."""
+        self.out.append(raw.strip("\n"))
+        self.closed = True
+
+    def text(self) -> str:
+        return "".join(p if p.startswith("\n") or not k else "\n\n" + p for k, p in enumerate(self.out))
+
+
 def repair_text(text: str, gone: set[int], hyphens: dict[int, str], headless: set[int], fixes: dict[str, str]) -> str:
     """A page's text in paragraphs: lines in `gone` left out, `hyphens` (line -> the word that its end and the next line make) put together, the first
     word of the lines in `headless` dropped as it has moved up, misread words of `fixes` and stray marks mended. A blank line ends a paragraph unless the next begins
     small and the last hasn't ended its sentence; list items and headings keep lines of their own."""
-    out: list[str] = []
-    fresh, skip_first = True, False
-    for no, line in enumerate(text.split("\n"), 1):
-        if no in gone:
-            continue
-        tokens = line.split()
-        if not tokens:
-            fresh = True
-            continue
-        item = bool(_ITEM.match(line))
-        tokens = tokens[1:] if skip_first or no in headless else tokens
-        skip_first = no in hyphens
-        if skip_first and tokens:
-            tokens[-1] = hyphens[no]
-        tokens = [t for k, t in enumerate(tokens) if not (k and _STRAY.fullmatch(t) and t not in "|=+<>#&@§*_•")]
-        said = " ".join(_mended(_INSIDE.sub("", t), fixes) for t in tokens)
-        if not said:
-            continue
-        goes_on = out and not item and (not fresh or (said[0].islower() and out[-1][-1] not in ".!?:"))
-        if goes_on:
-            out[-1] += " " + said
-        else:
-            out.append(("" if fresh or not out else "\n") + said)
-        fresh = False
-    return "".join(p if p.startswith("\n") or not k else "\n\n" + p for k, p in enumerate(out))
-
-
-def repaired_pages(page_results: DataFrame) -> DataFrame:
-    """(doc_id, page_number, text): the text of each page read by OCR as continuous paragraphs.
-
-    A word that goes on over the page's end stands whole on the page where it begins. Characters that can't be read at all stay marked as such. Pages without text give no row.
-    """
-    got = read_noise(page_results)
+    got = Paragraphs()
+    got.add_page(text, gone, hyphens, headless, fixes)
+    return got.text()
+
+
+def _place(content: str, text: str, at: int) -> tuple[int, int] | None:
+    """Where a page's text stands in its document's content from `at` on, between empty lines; else on lines of its own with white space changed."""
+    i = content.find(text, at)
+    while i >= 0:
+        j = i + len(text)
+        if (not content[at:i].strip() or content[:i].endswith("\n\n")) and (j == len(content) or content.startswith("\n\n", j)):
+            return i, j
+        i = content.find(text, i + 1)
+    m = re.compile(r"^[^\S\n]*" + r"\s+".join(map(re.escape, text.split())) + r"[^\S\n]*$", re.M).search(content, at)
+    return m.span() if m else None
+
+
+def repair_document(content: str, pages: list[tuple[str, set[int], dict[int, str], set[int], dict[str, str]]]) -> str:
+    """A document's content with its scanned pages, in order and each given as `repair_text` takes it, in paragraphs that run over the ends of pages."""
+    got, at = Paragraphs(), 0
+    for page in pages:
+        if page[0].strip() and (place := _place(content, page[0], at)):
+            if content[at : place[0]].strip():
+                got.keep(content[at : place[0]])
+            got.add_page(*page)
+            at = place[1]
+    if content[at:].strip():
+        got.keep(content[at:])
+    return got.text()
+
+
+_REPAIR = ("text", "gone", "ends", "heads", "fixed")
+
+
+def _to_repair(got: dict[str, DataFrame]) -> DataFrame:
+    """Each scanned page of a `read_noise` result with all that its repair needs."""
     page = ["doc_id", "page_number"]
     gone = got["furniture"].groupBy(*page).agg(F.collect_set("line_no").alias("gone"))
     ends = got["hyphens"].groupBy(*page).agg(F.collect_list(F.struct("line_no", F.concat("a", "b").alias("word"))).alias("ends"))
@@ -512,11 +565,54 @@ def repaired_pages(page_results: DataFrame) -> DataFrame:
     j = got["pages"].select(*page, "text")
     for side in (gone, ends, heads, fixed):  # each has at most a few rows a line of a page
         j = j.join(side, page, "left")
+    return j
+
 
+def _repair_of(text: str, gone: list | None, ends: list | None, heads: list | None, fixed: list | None) -> tuple[str, set[int], dict[int, str], set[int], dict[str, str]]:
+    return text, set(gone or ()), {e["line_no"]: e["word"] for e in ends or ()}, set(heads or ()), {f["word"]: f["printed"] for f in fixed or ()}
+
+
+def _paged(to_repair: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = zip(*(b.column(c).to_pylist() for c in ("text", "gone", "ends", "heads", "fixed")), strict=True)
-            texts = [repair_text(t, set(g or ()), {e["line_no"]: e["word"] for e in n or ()}, set(h or ()), {f["word"]: f["printed"] for f in x or ()}) for t, g, n, h, x in rows]
+            texts = [repair_text(*_repair_of(*r)) for r in zip(*(b.column(c).to_pylist() for c in _REPAIR), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("page_number"), pa.array(texts, pa.string())], ["doc_id", "page_number", "text"])
 
-    return j.mapInArrow(run, "doc_id long, page_number int, text string").where("text <> ''")
+    return to_repair.mapInArrow(run, "doc_id long, page_number int, text string").where("text <> ''")
+
+
+def _whole(to_repair: DataFrame, documents: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(b.column("content").to_pylist(), b.column("pages").to_pylist(), strict=True)
+            texts = [repair_document(c, [_repair_of(*(p[k] for k in _REPAIR)) for p in pages]) for c, pages in rows]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    # a document's pages together are no longer than its content, which is one row already
+    pages = to_repair.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("page_number", *_REPAIR))).alias("pages"))
+    docs = documents.where("id IS NOT NULL AND content IS NOT NULL").groupBy(F.col("id").alias("doc_id")).agg(F.max("content").alias("content"))
+    return docs.join(pages, "doc_id").mapInArrow(run, "doc_id long, text string").where("text <> ''")
+
+
+def repaired_pages(page_results: DataFrame) -> DataFrame:
+    """(doc_id, page_number, text): the text of each page read by OCR as continuous paragraphs.
+
+    A word that goes on over the page's end stands whole on the page where it begins. Characters that can't be read at all stay marked as such. Pages without text give no row.
+    """
+    return _paged(_to_repair(read_noise(page_results)))
+
+
+def repaired_documents(page_results: DataFrame, documents: DataFrame) -> DataFrame:
+    """(doc_id, text): the content of each of `documents` (id, content) that has pages read by OCR, as continuous paragraphs that run over the ends of pages.
+
+    What in a content is no scanned page's text (a metadata header, pages with a text layer) stays as it is, apart from empty lines around it.
+    Null contents and documents without scanned pages give no row; repeated rows count once.
+    """
+    return _whole(_to_repair(read_noise(page_results)), documents)
+
+
+def repaired(page_results: DataFrame, documents: DataFrame) -> DataFrame:
+    """(source_table, doc_id, page_number, text): `repaired_pages` as page_results and, without a page number, `repaired_documents` as pdf_documents; the noise is looked for once."""
+    to_repair = materialise(_to_repair(read_noise(page_results)))
+    pages = _paged(to_repair).select(F.lit("page_results").alias("source_table"), "doc_id", "page_number", "text")
+    return pages.unionByName(_whole(to_repair, documents).select(F.lit("pdf_documents").alias("source_table"), "doc_id", F.lit(None).cast("int").alias("page_number"), "text"))

@@ -295,3 +295,24 @@ def test_repaired_pages(spark):
     df = spark.createDataFrame(pages, "doc_id long, page_number int, text string, method string, has_text boolean")
     got = {r["page_number"]: r["text"] for r in scan.repaired_pages(df).collect()}
     assert got == {1: "the committee of the department in every department", 3: "of the company"}
+
+
+def test_repaired_documents(spark):
+    word = "committee reviewed the measurement of weather records in every department of the company"
+    pages = [(9, p, f"{word}\n{word}\n", "pdfplumber", True) for p in range(40)]
+    one, two, three = "the comm!ttee of the department in every\ndepart-\nPage 1", "ment of the company and all records of the\nPage 2", "Company in\nthe end.\n\nWeather\nPage 3"
+    pages += [(1, 1, one, "ocr", True), (1, 2, two, "ocr", True), (1, 3, "", "empty", False), (1, 4, three, "ocr", True), (3, 1, one, "ocr", True)]
+    df = spark.createDataFrame(pages, "doc_id long, page_number int, text string, method string, has_text boolean")
+    content = f"--- Metadata ---\nPages: 4\n--- End ---\n\n{one}\n\n{two}\n\n{three}"
+    docs = spark.createDataFrame([(1, content), (1, content), (3, None), (9, word), (None, one)], "id long, content string")
+    whole = "--- Metadata ---\nPages: 4\n--- End ---\n\nthe committee of the department in every department of the company and all records of the Company in the end.\n\nWeather"
+    assert [tuple(r) for r in scan.repaired_documents(df, docs).collect()] == [(1, whole)]
+    got = scan.repaired(df, docs).collect()
+    assert {(r["doc_id"], r["page_number"]) for r in got if r["source_table"] == "page_results"} == {(1, 1), (1, 2), (1, 4), (3, 1)}
+    assert [(r["doc_id"], r["page_number"], r["text"]) for r in got if r["source_table"] == "pdf_documents"] == [(1, None, whole)]
+    assert scan.repaired(df.limit(0), docs.limit(0)).collect() == []
+
+
+def test_place_of_a_page():
+    content = "Pages: 7\n\nabout 7 sites\n\n7\n\nthe   end"
+    assert scan._place(content, "7", 0) == (25, 26) and scan._place(content, "the end", 26) == (28, 37) and scan._place(content, "none", 0) is None
