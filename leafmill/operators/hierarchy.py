@@ -162,8 +162,28 @@ def hierarchy(
     return done.select("id", F.coalesce("croot", "root").alias("root_id"), "depth", F.col("croot").isNotNull().alias("in_cycle"), "path")
 
 
+def circle_trees(
+    df: DataFrame, paths: DataFrame, id_col: str = "id", parent_col: str = "parent_section_id", locality_col: str | None = "doc_id", limit: int = 100_000
+) -> DataFrame:
+    """The rows caught in circles, of a table and its ``hierarchy`` result -> (id, root_id, on_circle, depth, path).
+
+    A row on a circle ends the chain of the rows below it: it is at depth 0 of its own path and has no ancestor, and ``path`` runs from it
+    down to the row. ``root_id`` is the circle's smallest id, as in ``hierarchy``. Without circles the result is empty.
+    """
+    key = F.col(locality_col) if locality_col else F.col(id_col)
+    rows = df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(F.col(parent_col).cast("long")).alias("up"), F.min(key).alias("loc"))
+    caught = materialise(rows.join(paths.where("in_cycle").select("id", "root_id"), "id"))
+    # cut above its smallest id, a circle is the path from there down to that row's parent
+    opened = hierarchy(caught.withColumn("up", F.when(F.col("id") != F.col("root_id"), F.col("up"))), "id", "up", "loc", limit)
+    last = caught.where("id = root_id").select(F.col("up").alias("id"))
+    circle = materialise(opened.join(last, "id").select(F.explode("path").alias("id")))
+    loose = caught.join(circle.withColumn("on_circle", F.lit(True)), "id", "left").withColumn("on_circle", F.coalesce("on_circle", F.lit(False)))
+    loose = materialise(loose.withColumn("up", F.when(~F.col("on_circle"), F.col("up"))))
+    return hierarchy(loose, "id", "up", "loc", limit).select("id", "depth", "path").join(loose.select("id", "root_id", "on_circle"), "id").select("id", "root_id", "on_circle", "depth", "path")
+
+
 def descendants(paths: DataFrame) -> DataFrame:
-    """Every pair (ancestor_id, id, distance) of a ``hierarchy`` result; rows caught in circles have none."""
+    """Every pair (ancestor_id, id, distance) of a ``hierarchy`` result, in which rows caught in circles have none, or of a ``circle_trees`` result, which has theirs."""
     e = paths.where("path IS NOT NULL").select("id", "depth", F.posexplode("path").alias("at", "ancestor_id"))
     return e.where("at < depth").select("ancestor_id", "id", (F.col("depth") - F.col("at")).alias("distance"))
 

@@ -38,6 +38,13 @@ def p1_descendants(spark: SparkSession, d: str) -> DataFrame:
     return hi.descendants(hi.hierarchy(read_table(spark, d, "sections")))
 
 
+@query
+def p1_circle_descendants(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs among sections caught in circles, which p1_descendants by its SQL is without."""
+    sections = read_table(spark, d, "sections")
+    return hi.descendants(hi.circle_trees(sections, hi.hierarchy(sections, with_path=False)))
+
+
 def _queries(spark: SparkSession, d: str) -> DataFrame:
     """Every different query ever asked, case aside: (query_id, query), the id being the first log row's."""
     return read_table(spark, d, "search_logs").where("query IS NOT NULL").groupBy(F.lower("query").alias("query")).agg(F.min("id").alias("query_id"))

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from leafmill.operators.hierarchy import descendants, hierarchy, level_errors
+from leafmill.operators.hierarchy import circle_trees, descendants, hierarchy, level_errors
 
 SCHEMA = "id long, parent_section_id long, doc_id long, level int, path string, exit string"
 
@@ -56,3 +56,21 @@ def test_descendants_and_levels(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert {tuple(r) for r in descendants(hierarchy(df)).collect()} == {(1, 2, 1), (1, 3, 2), (2, 3, 1), (1, 4, 2), (2, 4, 1)}
     assert {tuple(r) for r in level_errors(df).collect()} == {(3, 1), (8, 8), (9, 8)}
+
+
+@pytest.mark.parametrize("limit", [20, 10_000])
+def test_pairs_below_circles(spark, limit):
+    rng = random.Random(5)
+    up = {i: i + 1 for i in range(40)} | {39: 0, 50: 50, 90: None} | {i: rng.choice([*range(40), 50, *range(100, i)]) for i in range(100, 180)} | {200: 90}
+    df = spark.createDataFrame([(i, p, i % 3, 0, "", "") for i, p in up.items()], SCHEMA)
+    on = {*range(40), 50}
+    want = set()
+    for i in range(100, 180):
+        x, far = i, 0
+        while x not in on:
+            x, far = up[x], far + 1
+            want.add((x, i, far))
+    got = circle_trees(df, hierarchy(df, limit=limit), limit=limit)
+    assert {tuple(r) for r in descendants(got).collect()} == want
+    assert {(r["id"], r["root_id"], r["path"] == [r["id"]]) for r in got.where("on_circle").collect()} == {(i, 50 if i == 50 else 0, True) for i in on}
+    assert circle_trees(df.where("id >= 90 AND id < 100"), hierarchy(df.where("id >= 90 AND id < 100"))).collect() == []
