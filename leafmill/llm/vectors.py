@@ -27,8 +27,8 @@ SAMPLE, ROUNDS = 20_000, 8
 PROBED, COVERAGE = 300, 0.9
 #: Candidates followed in a search.
 WIDTH = 16
-#: More than k are kept until similarities are exact, as vectors travel in bytes, which errs by less than SLACK.
-SPARE, SLACK = 4, 0.03
+#: More than k are kept until similarities are exact, as they are in single precision before, which errs by far less than SLACK.
+SPARE, SLACK = 4, 0.001
 MAX_SPACES = 10_000
 
 
@@ -52,19 +52,11 @@ def _usable(df: DataFrame, id_col: str, what: str) -> DataFrame:
     return rows.mapInArrow(run, f"id long, space string, {what} binary")
 
 
-def _bytes(x: np.ndarray) -> list[bytes]:
-    """Vectors as one signed byte a component, each stretched to its own largest; only directions count."""
-    top = np.maximum(np.abs(x).max(1, keepdims=True), 1e-12)
-    return [r.tobytes() for r in np.rint(x * (127 / top)).astype(np.int8)]
-
-
-def _matrix(column: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
-    """Equally long blobs as the rows of a float32 matrix."""
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Equally long blobs of float32 as the rows of a matrix."""
     if not len(column):
         return np.zeros((0, 1), np.float32)
-    raw = b"".join(column.to_pylist())
-    x = np.frombuffer(raw, kind).reshape(len(column), -1).astype(np.float32)
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    return np.frombuffer(b"".join(column.to_pylist()), "<f4").reshape(len(column), -1)
 
 
 def fit_centroids(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -90,7 +82,7 @@ def _sampled(reps: DataFrame, sizes: dict[str, int], most: int, salt: int) -> di
     out = {}
     for s in sizes:
         one = got.filter(pa.compute.equal(got["space"], s)).sort_by("id")
-        out[s] = (one["id"].to_numpy(), _matrix(one["h"], "i1"))
+        out[s] = (one["id"].to_numpy(), _matrix(one["h"]))
     return out
 
 
@@ -104,7 +96,7 @@ def _probes(reps: DataFrame, centroids: dict[str, np.ndarray], queries: dict[str
             spaces = np.array(b.column("space").to_pylist(), object)
             for s in set(spaces):
                 at = np.flatnonzero(spaces == s)
-                x = _matrix(b.column("h").take(pa.array(at)), "i1")
+                x = _matrix(b.column("h").take(pa.array(at)))
                 qi, q = queries[s]
                 if not len(q):
                     continue
@@ -126,7 +118,7 @@ def _probes(reps: DataFrame, centroids: dict[str, np.ndarray], queries: dict[str
 
 
 def _edges(reps: DataFrame, k: int, at_least: float = -2.0) -> DataFrame:
-    """(space, a, b): candidate neighbours among distinct vectors, from either end, with similarity `s` from bytes; at least k + SPARE a vector where there are as many of that similarity."""
+    """(space, a, b): candidate neighbours among distinct vectors, from either end, with similarity `s` in single precision; at least k + SPARE a vector where there are as many of that similarity."""
     spark = reps.sparkSession
     sizes = {r["space"]: r["count"] for r in reps.groupBy("space").count().limit(MAX_SPACES + 1).collect()}
     if len(sizes) > MAX_SPACES:
@@ -145,12 +137,12 @@ def _edges(reps: DataFrame, k: int, at_least: float = -2.0) -> DataFrame:
             spaces = np.array(b.column("space").to_pylist(), object)
             for s in set(spaces):
                 at = np.flatnonzero(spaces == s)
-                x = _matrix(b.column("h").take(pa.array(at)), "i1")
+                x = _matrix(b.column("h").take(pa.array(at)))
                 near = (-(x @ centroids[s].T)).argsort(1)[:, : probes.get(s, 1)].astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32)), pa.array(near.ravel()))
                 yield pa.RecordBatch.from_arrays([pa.array([s] * len(at)), pa.array(b.column("id").to_numpy()[at]), lists, b.column("h").take(pa.array(at))], ["space", "id", "near", "h"])
 
-    routed = materialise(reps.select("id", "space", "h").mapInArrow(route, "space string, id long, near array<int>, h binary"))
+    routed = reps.select("id", "space", "h").mapInArrow(route, "space string, id long, near array<int>, h binary")  # done twice, as writing vectors costs more
     visits = routed.select("space", "id", F.posexplode("near").alias("far", "shard"))
     load = visits.groupBy("space", "shard").agg(F.count_if(F.col("far") == 0).alias("members"), F.count("*").alias("lookups")).orderBy("space", "shard").collect()
     slots, first = [], 0  # as many rows as shards; a shard grown too large is a few graphs, one asked too often a few tasks
@@ -175,7 +167,7 @@ def _edges(reps: DataFrame, k: int, at_least: float = -2.0) -> DataFrame:
             return
         t = pa.Table.from_batches(got)
         ids, member, asks = t["id"].to_numpy(), t["member"].to_numpy(), t["asks"].to_numpy()
-        x = _matrix(t["h"], "i1")
+        x = _matrix(t["h"])
         inside = np.flatnonzero(member)
         inside = inside[np.argsort(ids[inside], kind="stable")]
         inner = ids[inside]
@@ -215,7 +207,7 @@ def _exact(edges: DataFrame, vectors: DataFrame) -> DataFrame:
 
 def _spaces(df: DataFrame, k: int, id_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(id, rep) of every usable vector, rep being the smallest id with the very same direction; the distinct ones' groups (id, same), `same` being
-    the k + 1 smallest ids of each; and (id, space, h), the distinct vectors in bytes. Only digests are shuffled to find copies."""
+    the k + 1 smallest ids of each; and (id, space, h), the distinct unit vectors as float32. Only digests are shuffled to find copies."""
     rows = materialise(_usable(df, id_col, "d").groupBy("id").agg(F.min(F.struct("space", "d")).alias("x")).select("id", "x.space", "x.d"))
     by = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
     # copies are folded in two steps, so no list is longer than a salted share of one group
@@ -224,17 +216,11 @@ def _spaces(df: DataFrame, k: int, id_col: str) -> tuple[DataFrame, DataFrame, D
     members = rows.join(whole, ["space", "d"]).select("id", F.element_at("same", 1).alias("rep"))
     same = whole.select(F.element_at("same", 1).alias("id"), "same", "space", "d")
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            v = b.column(2).to_pylist()
-            h: list = [None] * len(v)
-            for width in set(map(len, v)):
-                at = [i for i, x in enumerate(v) if len(x) == width]
-                for i, x in zip(at, _bytes(np.frombuffer(b"".join(v[i] for i in at), "<f4").reshape(len(at), -1)), strict=True):
-                    h[i] = x
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([md5(x).digest() for x in v], pa.binary()), pa.array(h, pa.binary())], ["id", "space", "d", "h"])
-
-    small = _usable(df, id_col, "v").mapInArrow(pack, "id long, space string, d binary, h binary")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([md5(x).digest() for x in b.column(2).to_pylist()], pa.binary()), b.column(2)], ["id", "space", "d", "h"])
+
+    small = _usable(df, id_col, "v").mapInArrow(digest, "id long, space string, d binary, h binary")
     reps = small.join(same.select("id", "space", "d"), ["id", "space", "d"]).groupBy("id").agg(F.min("space").alias("space"), F.min("h").alias("h"))
     return materialise(members), same.select("id", "same"), materialise(reps)
 

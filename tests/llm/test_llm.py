@@ -249,6 +249,19 @@ def test_nearest_against_all_pairs(spark, monkeypatch):
     assert vectors.nearest(df.limit(0)).collect() == [] and vectors.mutual(df.where("id > 899")).collect() == []
 
 
+def test_nearest_in_a_dense_group(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((700, 16))
+    x[:500] = x[0] / np.linalg.norm(x[0]) + 0.0025 * rng.standard_normal((500, 16))  # cosines of about 0.9999
+    df = spark.createDataFrame([(i, "m", 16, struct.pack("<16f", *v)) for i, v in enumerate(x)], "id long, model_name string, dimensions int, vector_blob binary")
+    unit = x.astype("<f4").astype(np.float64)
+    unit = (unit / np.linalg.norm(unit, axis=1, keepdims=True)).astype("<f4").astype(np.float64)
+    s = unit @ unit.T
+    np.fill_diagonal(s, -2)
+    got = {i: set(g) for i, g in vectors.nearest(df).toPandas().groupby("id").neighbour_id}
+    assert np.mean([len(got[i] & set(np.argsort(-s[i])[:10])) / 10 for i in range(500)]) > 0.97
+
+
 # scans
 
 
