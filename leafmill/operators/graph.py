@@ -13,7 +13,7 @@ from leafmill.functions.text import strip, title_case
 
 # Labels that are no entities.
 DROPPED_LABELS = ("CARDINAL", "ORDINAL", "QUANTITY", "PERCENT")
-MAX_CHARS, CONFIDENCE = 100_000, 0.5
+CONFIDENCE = 0.5
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _RULES = (("DATE", re.compile(r"\b(?:19|20)\d\d\b")), ("PERCENT", re.compile(r"\b\d+(?:\.\d+)? ?(?:%|percent)")), ("ORG", re.compile(r"\b[A-ZÄÖÜ][\w&]+(?: [A-ZÄÖÜ][\w&]+)* (?:Group|Holdings|Systems|Energy|Foods|Works|Paper|Marine|Retail|Logistics|Cement|Chemicals|Textiles|Utilities)\b")))
 
@@ -25,7 +25,7 @@ def rule_entities(chunks: DataFrame, id_col: str = "id", doc_col: str = "doc_id"
         for p in parts:
             out = []
             for doc, chunk, text in p.itertuples(index=False):
-                for k, sentence in enumerate(_SENTENCE.split((text or "")[:MAX_CHARS])):
+                for k, sentence in enumerate(_SENTENCE.split(text or "")):
                     found = sorted((m.start(), m[0], label) for label, rule in _RULES for m in rule.finditer(sentence))
                     out += [(doc, chunk, k, pos, name, label) for pos, name, label in found]
             yield pd.DataFrame(out, columns=["doc_id", "chunk_id", "sentence_no", "pos", "name", "label"])

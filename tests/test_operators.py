@@ -217,3 +217,9 @@ def test_stream_equals_batch(spark, tmp_path):
     q = ingest.ingest(spark, str(folder), str(tmp_path / "cp"), lambda df, _: seen.extend((r["path"][-5:], r["passed"]) for r in df.collect()))
     q.awaitTermination(60)
     assert sorted(seen) == [("a.pdf", True), ("b.pdf", False)]
+
+
+def test_entities_at_the_end_of_a_long_text(spark):
+    text = "In 2019 it was so. " + "nothing to see here. " * 6000 + "Stermere Energy said so in 2021."
+    rows = graph.rule_entities(spark.createDataFrame([(1, 1, text), (2, 1, None)], "id long, doc_id long, content string")).collect()
+    assert [(r["sentence_no"], r["name"]) for r in rows] == [(0, "2019"), (6001, "Stermere Energy"), (6001, "2021")]
