@@ -39,6 +39,7 @@ TIMES_AS_FREQUENT = (6, 25)
 
 _STRAY = re.compile(r"[`|¦^~°•¬¨´_=\\<>#@¤§{}*+]{1,3}")
 _INSIDE = re.compile(r"(?<=[^\W\d_])[`^¦|~°¨´_\\](?=[^\W\d_])")
+_INSIDE_KEY = re.compile(r"(?<=[^\W\d_])[`^¦~°¨´\\](?=[^\W\d_])")  # | may be a letter's stroke
 _NUMBERISH = re.compile(r"(?=.*\d)(?=.*[OolISB])[\dOolISB][\dOolISB.,]*%?")
 _STROKES = str.maketrans({"m": "iii", "n": "ii", "u": "ii", "h": "ii", "b": "ii", "8": "ii", "6": "c", "é": "c", "w": "vv", "d": "ci", "r": "i", "l": "i", "1": "i", "!": "i", "|": "i", "j": "i", "t": "i", "f": "i", "e": "c", "3": "c", "0": "o", "ö": "o", "5": "s", "9": "g", "q": "g", "2": "z", "y": "v", "4": "a"})
 _BY_READ: dict[str, list[str]] = defaultdict(list)
@@ -147,7 +148,8 @@ def _edge_lines(text: str) -> list[tuple[int, str]]:
 
 
 def _header_key(line: str) -> str:
-    """An edge line without digits, blanks, and letters' differences by misreading."""
+    """An edge line without digits, blanks, stray marks, and letters' differences by misreading; what can't be read stays."""
+    line = _INSIDE_KEY.sub("", " ".join(t for t in line.split() if not _STRAY.fullmatch(t) or t in "|=+<>#&@§*_•"))
     letters = re.sub(r"(?<![^\W\d_])\d+(?![^\W\d_])|\s+", "", re.sub(r"(?<!\w)[OlISBZ|!\d]+(?!\w)", "", line))
     letters = re.sub(r"(?<=\W)[ivxlcIVXLC]{1,6}$", "", letters)
     return strokes(letters)
@@ -214,7 +216,11 @@ def furniture(pages: DataFrame) -> DataFrame:
                     keep.append(i)
             yield b.take(pa.array(keep, pa.int64()))
 
-    like = pair.mapInArrow(close, "doc_id long, key string, base string")
+    like = materialise(pair.mapInArrow(close, "doc_id long, key string, base string"))
+    # each copy of a header may hold another unreadable character: such a key seen once is a base if it is near no other
+    lone = keys.where((F.col("n") == 1) & F.col("key").contains(UNREADABLE)).join(like, ["doc_id", "key"], "left_anti").select("doc_id", F.col("key").alias("base"))
+    more = keys.select("doc_id", "key").join(lone, "doc_id").where("abs(length(key) - length(base)) <= 2 + length(base) / 8")
+    like = like.unionByName(more.mapInArrow(close, "doc_id long, key string, base string"))
     member = rest.join(like, ["doc_id", "key"])
     enough = member.groupBy("doc_id", "base").agg(F.count_distinct("page_number").alias("n")).where("n > 2").select("doc_id", "base")
     header = member.join(enough, ["doc_id", "base"], "left_semi").select("doc_id", "page_number", "line_no", F.lit("header").alias("kind")).distinct()

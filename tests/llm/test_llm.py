@@ -295,6 +295,15 @@ def test_noisy_lines(spark):
     assert scan.noisy_lines(df.limit(0)).collect() == []
 
 
+def test_headers_each_damaged_elsewhere(spark):
+    body = "weather records of every department\nwere read by the company\nin the year of the measurement\nand sent to the office\n"
+    heads = {1: ["Ac\ufffde Annual Review", "Acme A\ufffdnual Review", "Acme Annual Re\ufffdiew"], 2: ["Acme ` Annual Review", "Ac^me Annual Review", "Acme Annual ~ Review"], 3: ["Ac\ufffde Annual Review", "Acme A\ufffdnual Review", "Other words here"]}
+    pages = [(d, p, f"{h}\n{body[p:]}{p * 'x'} ends", "ocr", True) for d, hs in heads.items() for p, h in enumerate(hs, 1)]
+    df = spark.createDataFrame(pages, "doc_id long, page_number int, text string, method string, has_text boolean")
+    got = {(r["doc_id"], r["page_number"]) for r in scan.furniture(scan.scanned_pages(df)).where("kind = 'header' AND line_no = 1").collect()}
+    assert got == {(d, p) for d in (1, 2) for p in (1, 2, 3)}
+
+
 def test_repair_text():
     text = "Head\nment of the old com-\npany; the comm!ttee \u00a6 met.\nIt was\n\n- an item\n- ano`ther\n\nNew part goes\n\non here\nand the depart-\n\n7"
     got = scan.repair_text(text, {1, 14}, {2: "company;", 12: "department"}, {2}, {"comm!ttee": "committee"})
