@@ -34,6 +34,12 @@ def p2_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return vectors.nearest(read_table(spark, d, "chunk_embeddings"))
 
 
+@query
+def p2_recall(spark: SparkSession, d: str) -> DataFrame:
+    """How much of the true ten nearest p2_neighbours holds, by kind of vectors, for the vectors whose id is divisible by 50."""
+    return vectors.recall(read_table(spark, d, "chunk_embeddings"))
+
+
 @query
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return scan.noisy_lines(read_table(spark, d, "page_results"))
