@@ -9,7 +9,9 @@ LINKS, GROUND_LINKS = 12, 32
 #: The highest layer has at most so many nodes; it is entered by comparing with all of them.
 TOP_NODES = 192
 #: While a layer is linked, nodes lie in groups around the nodes of each layer above that has one for GROUP of them or more, and each is compared with the NEAR nearest groups, or as many as hold COMPARED nodes.
-GROUP, NEAR, COMPARED = 150, 8, 600
+GROUP, NEAR, COMPARED = 150, 8, 400
+#: In the smallest groups, each node is also compared with the nodes that have one of its SHARED nearest upper nodes among theirs, and links to the best ALIKE of them: nodes almost alike can lie in distant groups.
+SHARED, ALIKE = 3, 6
 #: Nodes opened at a time in a search, and queries searched for in step.
 WIDE, STEP = 4, 512
 _SEED = 20_240_501
@@ -46,7 +48,17 @@ class SmallWorld:
         found = []
         for guides in (s for s in self.sizes[h + 1 :] if 2 <= s and s * GROUP <= 32 * n):
             g = self.xo[:guides]
-            group = np.concatenate([(x[i : i + 8192] @ g.T).argmax(1) for i in range(0, n, 8192)])
+            if not found:
+                several = np.concatenate([_largest(x[i : i + 2048] @ g.T, min(SHARED, guides)) for i in range(0, n, 2048)])
+                group = several[every, np.einsum("nd,nkd->nk", x, g[several]).argmax(1)]
+                who = np.argsort(several.ravel(), kind="stable")
+                ends = np.searchsorted(several.ravel()[who], np.arange(guides + 1))
+                who //= several.shape[1]
+                for j in range(guides):
+                    mine = who[ends[j] : ends[j + 1]]
+                    found += [self._block(mine[i : i + 512], mine, ALIKE) for i in range(0, len(mine), 512)]
+            else:
+                group = np.concatenate([(x[i : i + 8192] @ g.T).argmax(1) for i in range(0, n, 8192)])
             by = np.argsort(group, kind="stable")
             ends = np.searchsorted(group[by], np.arange(guides + 1))
             middle = np.zeros_like(g)
