@@ -37,6 +37,8 @@ class SmallWorld:
         self.order = np.argsort(-top, kind="stable")  # positions below refer to this order
         self.xo = x[self.order]
         self.sizes = [int((top >= h).sum()) for h in range(highest + 1)]
+        #: Nodes by the upper nodes near to them, and where each upper node's begin.
+        self.shared: tuple[np.ndarray, np.ndarray] | None = None
         self.layers: list[np.ndarray] = [np.zeros((0, 0), np.int32)] * (highest + 1)
         for h in range(highest, -1, -1):
             self.layers[h] = self._linked(h, LINKS if h else GROUND_LINKS)
@@ -54,6 +56,8 @@ class SmallWorld:
                 who = np.argsort(several.ravel(), kind="stable")
                 ends = np.searchsorted(several.ravel()[who], np.arange(guides + 1))
                 who //= several.shape[1]
+                if not h:
+                    self.shared = who, ends
                 for j in range(guides):
                     mine = who[ends[j] : ends[j + 1]]
                     found += [self._block(mine[i : i + 512], mine, ALIKE) for i in range(0, len(mine), 512)]
@@ -95,6 +99,22 @@ class SmallWorld:
             at = self._walk(nbr, q, at, few, None)[0]
         return at
 
+    def _alike(self, q: np.ndarray, few: int = 2) -> np.ndarray:
+        """Where each query may enter the ground layer besides, -1 where free: the best nodes that share each of its nearest upper nodes."""
+        if self.shared is None:
+            return np.full((len(q), 0), -1)
+        who, ends = self.shared
+        g = self.xo[: len(ends) - 1]
+        near = np.concatenate([_largest(q[i : i + 2048] @ g.T, min(SHARED, len(g))) for i in range(0, len(q), 2048)])
+        at = np.full((near.size, few), -1)
+        by = np.argsort(near.ravel(), kind="stable")
+        cuts = np.searchsorted(near.ravel()[by], np.arange(len(ends)))
+        for j in np.flatnonzero(np.diff(cuts)):
+            rows, mine = by[cuts[j] : cuts[j + 1]], who[ends[j] : ends[j + 1]]
+            best = _largest(q[rows // near.shape[1]] @ self.xo[mine].T, few)
+            at[rows, : best.shape[1]] = mine[best]
+        return at.reshape(len(q), -1)
+
     def _walk(self, nbr: np.ndarray, q: np.ndarray, entry: np.ndarray, width: int, floor: float | None) -> tuple[np.ndarray, np.ndarray]:
         """Best-first search of one layer for all queries in step, from `entry` (-1 where free): (positions, similarities), `width` each, best first, -1 and -2 where there are fewer.
 
@@ -102,7 +122,8 @@ class SmallWorld:
         """
         b, (n, m) = len(q), nbr.shape
         width, xo, rows = min(width, n), self.xo, np.arange(b)
-        entry = np.where(entry < 0, n, entry)
+        entry = np.sort(np.where(entry < 0, n, entry), axis=1)
+        entry[:, 1:][entry[:, 1:] == entry[:, :-1]] = n
         seen = np.zeros((b, n + 1), bool)
         seen[:, n] = True
         seen[rows[:, None], entry] = True
@@ -160,9 +181,11 @@ class SmallWorld:
         out = self._empty(len(q), k)
         if not len(self.xo):
             return out
+        q = np.ascontiguousarray(q, np.float32)
+        alike = self._alike(q)
         for i in range(0, len(q), STEP):
-            part = np.ascontiguousarray(q[i : i + STEP], np.float32)
-            ids, sims = self._walk(self.layers[0], part, self._enter(part), max(width, k), None)
+            part = q[i : i + STEP]
+            ids, sims = self._walk(self.layers[0], part, np.concatenate([self._enter(part), alike[i : i + STEP]], 1), max(width, k), None)
             self._put(out, slice(i, i + len(part)), ids, sims)
         return out
 

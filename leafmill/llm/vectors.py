@@ -27,9 +27,9 @@ SAMPLE, SAMPLE_IN_ALL, ROUNDS = 20_000, 400_000, 8
 #: Vectors, a space, whose true neighbours say which shards must be asked, and the share of those that must lie in them; as an edge needs to be found from one end only, fewer are missed.
 PROBED, COVERAGE = 1_500, 0.9
 #: The same share where only neighbours above a similarity are asked for.
-COVERAGE_IN_RANGE = 0.99
-#: Candidates followed in a search, and in one from afar for neighbours above a similarity: nothing on its way is similar, and few searches are from afar.
-WIDTH, WIDTH_IN_RANGE = 16, 32
+COVERAGE_IN_RANGE = 0.999
+#: Candidates followed in a search.
+WIDTH = 16
 #: More than k are kept until similarities are exact, as they are in single precision before, which errs by far less than SLACK.
 SPARE, SLACK = 4, 0.001
 MAX_SPACES = 10_000
@@ -228,7 +228,7 @@ def _edges(reps: DataFrame, k: int, at_least: float = -2.0, coverage: float = CO
                 elif own:
                     at, _ = world.around(place[part], n, WIDTH, floor)
                 else:
-                    at, _ = world.search(x[part], n, WIDTH if floor is None else WIDTH_IN_RANGE)
+                    at, _ = world.search(x[part], n, WIDTH)
                 r, c = np.nonzero(at >= 0)
                 a, b = part[r], at[r, c]
                 s = np.einsum("ij,ij->i", x[a].astype(np.float64), base[b].astype(np.float64))
