@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from leafmill.functions.text import md5_mod, strip, words
-from leafmill.session import broadcast_if_small
+from leafmill.session import broadcast_if_small, shared_dir, shuffle_partitions
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 RRF_K = 60
-MAX_QUERIES = 100_000  # of one batch of vector queries, which every task holds
+QUERY_BYTES = 64 << 20  # of vector queries that a task holds at a time; more are searched for in several blocks
 DIGITS = 6  # scores are rounded before they are ranked or compared
 
 
@@ -41,27 +44,62 @@ def postings(chunks: DataFrame, id_col: str = "id", text_col: str = "content", k
     return terms, tok.select("chunk_id", "dl")
 
 
-def bm25(queries: DataFrame, chunks: DataFrame, top_k: int = 10, id_col: str = "id", text_col: str = "content", allowed: DataFrame | None = None, doc_col: str = "doc_id") -> DataFrame:
-    """(query_id, chunk_id, score, rank): Okapi scores over the whole corpus, positive ones only, ties to the smaller id.
+@dataclass(frozen=True)
+class Bm25Index:
+    """`postings` (term, chunk_id, doc_id, tf, dl), lie sorted by term; `terms` (term, idf) has the idf as scored; `size` (n, avgdl) is one row."""
 
-    A repeated query word counts again. A negative idf becomes EPSILON times the mean idf. `allowed` (a frame with `doc_col`) restricts results after scoring; the corpus statistics stay global. None means no restriction.
+    postings: DataFrame
+    terms: DataFrame
+    size: DataFrame
+
+
+def index_chunks(chunks: DataFrame, id_col: str = "id", text_col: str = "content", doc_col: str = "doc_id", path: str | None = None) -> Bm25Index:
+    """The index of a corpus, each text read and tokenised once; written to `path`, else to the shared folder. A negative idf becomes EPSILON times the mean idf. Null texts are empty ones."""
+    spark = chunks.sparkSession
+    if path is None:
+        path = f"{shared_dir(spark)}/leafmill-bm25-{uuid.uuid4().hex}"
+    if doc_col not in chunks.columns:
+        chunks = chunks.withColumn(doc_col, F.lit(None).cast("long"))
+    found, _ = postings(chunks, id_col, text_col, (doc_col,))
+    # the lengths of empty texts are in no posting: they are counted beside
+    found = found.withColumnRenamed(doc_col, "doc_id").repartitionByRange(shuffle_partitions(spark), "term", "chunk_id").sortWithinPartitions("term", "chunk_id")
+    found.write.mode("overwrite").parquet(f"{path}/postings")
+    found = spark.read.schema(found.schema).parquet(f"{path}/postings")
+    n = chunks.where(F.col(id_col).isNotNull()).agg(F.count_distinct(id_col).alias("n"))
+    size = n.crossJoin(found.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words"))).select("n", (F.col("words") / F.greatest("n", F.lit(1))).alias("avgdl"))  # one row by one row
+    size.write.mode("overwrite").parquet(f"{path}/size")
+    size = spark.read.schema(size.schema).parquet(f"{path}/size")
+    raw = found.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(size)).select("term", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("idf"))  # one row
+    raw.write.mode("overwrite").parquet(f"{path}/raw")
+    raw = spark.read.schema(raw.schema).parquet(f"{path}/raw")
+    return Bm25Index(found, _weighted(raw), size)
+
+
+def load_index(spark: SparkSession, path: str) -> Bm25Index:
+    """An index as `index_chunks` wrote it; only its metadata is read."""
+    found, raw, size = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "raw", "size"))
+    return Bm25Index(found, _weighted(raw), size)
+
+
+def _weighted(raw: DataFrame) -> DataFrame:
+    floor = raw.agg((F.avg("idf") * EPSILON).alias("floor"))  # one row
+    return raw.crossJoin(F.broadcast(floor)).select("term", F.when(F.col("idf") < 0, F.col("floor")).otherwise(F.col("idf")).alias("idf"))
+
+
+def bm25(queries: DataFrame, chunks: DataFrame | Bm25Index, top_k: int = 10, id_col: str = "id", text_col: str = "content", allowed: DataFrame | None = None, doc_col: str = "doc_id") -> DataFrame:
+    """(query_id, chunk_id, score, rank): Okapi scores over the whole corpus, or an index of it; positive ones only, ties to the smaller id.
+
+    A repeated query word counts again. `allowed` (a frame with `doc_col`) restricts results after scoring; the corpus statistics stay global. None means no restriction.
     """
-    keep = (doc_col,) if allowed is not None else ()
-    terms, lengths = postings(chunks, id_col, text_col, keep)
-    size = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
-    df = terms.groupBy("term").agg(F.count("*").alias("df"))
-    raw = df.crossJoin(F.broadcast(size)).withColumn("idf0", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))  # one row
-    floor = raw.agg((F.avg("idf0") * EPSILON).alias("floor"))  # one row
+    index = chunks if isinstance(chunks, Bm25Index) else index_chunks(chunks, id_col, text_col, doc_col)
     q = queries.select("query_id", F.explode(words(F.lower("query"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qf"))
-    used = raw.join(broadcast_if_small(q.select("term").distinct(), 64), "term", "left_semi").crossJoin(F.broadcast(floor))
-    used = used.select("term", "avgdl", F.when(F.col("idf0") < 0, F.col("floor")).otherwise(F.col("idf0")).alias("idf"))
-    weighed = q.join(used, "term")
-    hit = terms.join(broadcast_if_small(weighed, 96), "term")
+    q = broadcast_if_small(q, 96)  # what is counted is the queries' words, never the corpus'
+    hit = index.postings.join(q, "term").join(index.terms, "term").crossJoin(F.broadcast(index.size.select("avgdl")))
     tf = F.col("tf")
     part = F.col("qf") * F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    scored = hit.groupBy("query_id", "chunk_id", *keep).agg(F.round(F.sum(part), DIGITS).alias("score")).where("score > 0")
+    scored = hit.groupBy("query_id", "chunk_id", "doc_id").agg(F.round(F.sum(part), DIGITS).alias("score")).where("score > 0")
     if allowed is not None:
-        scored = scored.join(allowed.select(doc_col).distinct(), doc_col, "left_semi")
+        scored = scored.join(allowed.select(F.col(doc_col).alias("doc_id")).distinct(), "doc_id", "left_semi")
     return top(scored.select("query_id", "chunk_id", "score"), top_k)
 
 
@@ -73,30 +111,46 @@ def top(scored: DataFrame, k: int, by: str = "score", tie: str = "chunk_id") ->
 def knn(queries: DataFrame, vectors: DataFrame, top_k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", where: Column | None = None) -> DataFrame:
     """(query_id, chunk_id, score, rank): exact nearest by squared distance d, score 1 / (1 + d).
 
-    The stated query set (query_id, qv) is held by each task, after its size is checked, and compared with all vectors in blocks; each batch of vectors sends on
+    The stated query set (query_id, qv) lies in blocks of at most QUERY_BYTES; each block is broadcast once and compared with all vectors, and each batch of vectors sends on
     its own top_k of a query only. Vectors of another length than the query's, and null ones, don't match. The filter comes before the ranking, so it never shortens a list.
     """
     v = vectors if where is None else vectors.where(where)
     v = v.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("chunk_id"), F.col(vec_col).cast("array<double>").alias("_v"))
-    q = queries.where("qv IS NOT NULL").select(F.col("query_id").cast("long"), F.col("qv").cast("array<double>").alias("qv"))
-    rows = q.limit(MAX_QUERIES + 1).collect()
-    if len(rows) > MAX_QUERIES:
-        raise ValueError(f"over {MAX_QUERIES} queries; search in several batches")
+    q = queries.where("qv IS NOT NULL AND size(qv) > 0").select(F.col("query_id").cast("long"), F.col("qv").cast("array<double>").alias("qv"))
+    size = q.agg(F.coalesce(F.sum(F.size("qv") * 8 + 64), F.lit(0)).alias("bytes")).first()["bytes"]
+    blocks = max(1, -(-2 * size // QUERY_BYTES))
+    parts = [_knn_block(q if blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i), v, top_k) for i in range(blocks)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return top(out, top_k)
+
+
+def _knn_block(q: DataFrame, v: DataFrame, top_k: int) -> DataFrame:
+    rows = q.toArrow()  # one block, of at most about QUERY_BYTES
+    ids, lists = rows["query_id"].to_numpy(), rows["qv"].combine_chunks() if len(rows) else None
     by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for n in {len(r["qv"]) for r in rows}:
-        some = [r for r in rows if len(r["qv"]) == n]
-        by_length[n] = (np.array([r["query_id"] for r in some], np.int64), np.array([r["qv"] for r in some], np.float64))
-    shared = vectors.sparkSession.sparkContext.broadcast(by_length)
+    if lists is not None:
+        sizes = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+        for n in np.unique(sizes):
+            at = np.flatnonzero(sizes == n)
+            by_length[int(n)] = (ids[at], lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), int(n)).astype(np.float64))
+    shared = v.sparkSession.sparkContext.broadcast(by_length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists, ids = b.column(1).to_pylist(), b.column(0).to_numpy(zero_copy_only=False)
+            column, all_ids = b.column(1), b.column(0).to_numpy(zero_copy_only=False)
+            sizes = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
             for n, (qi, qv) in shared.value.items():
-                at = np.array([i for i, x in enumerate(lists) if len(x) == n and None not in x], np.int64)
-                if not n or not len(at):
+                at = np.flatnonzero(sizes == n)
+                if not len(at):
+                    continue
+                at = at[np.argsort(all_ids[at], kind="stable")]
+                x = column.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), n)
+                whole = np.isfinite(x).all(1)  # a null component comes as NaN
+                x, ids = x[whole], all_ids[at[whole]]
+                if not len(ids):
                     continue
-                at = at[np.argsort(ids[at], kind="stable")]
-                x = np.array([lists[i] for i in at], np.float64)
                 xx = (x * x).sum(1)
                 for i in range(0, len(qi), 256):
                     block = qv[i : i + 256]
@@ -104,10 +158,10 @@ def knn(queries: DataFrame, vectors: DataFrame, top_k: int = 10, id_col: str = "
                     score = np.round(1 / (1 + d), DIGITS)
                     best = np.argsort(-score, axis=1, kind="stable")[:, :top_k]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(qi[i : i + 256], best.shape[1])), pa.array(ids[at][best].ravel()), pa.array(np.take_along_axis(score, best, 1).ravel())], ["query_id", "chunk_id", "score"]
+                        [pa.array(np.repeat(qi[i : i + 256], best.shape[1])), pa.array(ids[best].ravel()), pa.array(np.take_along_axis(score, best, 1).ravel())], ["query_id", "chunk_id", "score"]
                     )
 
-    return top(v.mapInArrow(run, "query_id long, chunk_id long, score double"), top_k)
+    return v.mapInArrow(run, "query_id long, chunk_id long, score double")
 
 
 def fuse(lexical: DataFrame, dense: DataFrame, weights: DataFrame, top_k: int = 10) -> DataFrame:
@@ -142,11 +196,68 @@ def neighbours(chunks: DataFrame) -> DataFrame:
     return j.select("id", "doc_id", "previous", "content", "following", F.concat_ws("\n\n", "previous", "content", "following").alias("expanded"))
 
 
+def with_parents(hits: DataFrame, chunks: DataFrame, sections: DataFrame) -> DataFrame:
+    """Hits (chunk_id, ...) with `content`, `expanded` (the chunk with its neighbours) and `parent_content`: the content of the section its chunk is cut from, empty where there is none."""
+    one = chunks.where(F.col("id").isNotNull()).groupBy("id").agg(F.max("section_id").alias("section_id"))
+    near = neighbours(chunks).join(one, "id").select(F.col("id").alias("chunk_id"), "content", "expanded", "section_id")
+    parent = sections.where(F.col("id").isNotNull()).groupBy("id").agg(F.max("content").alias("parent_content")).withColumnRenamed("id", "section_id")
+    out = hits.join(near, "chunk_id").join(parent, "section_id", "left")
+    return out.drop("section_id").fillna("", ["parent_content"])
+
+
+def overlap_score(query: list[str], text: list[str]) -> np.ndarray:
+    """Share of a query's words that a text has: the stand-in for a trained cross-encoder."""
+    words = [(set((q or "").lower().split()), set((t or "").lower().split())) for q, t in zip(query, text, strict=True)]
+    return np.array([len(q & t) / len(q) if q else 0.0 for q, t in words])
+
+
+def rerank(hits: DataFrame, queries: DataFrame, top_k: int = 10, model: Callable[[list[str], list[str]], np.ndarray] = overlap_score, text_col: str = "content") -> DataFrame:
+    """Hits (query_id, chunk_id, score, rank, text, ...) with the score of `model`, called with a batch of queries and texts, in place of theirs, ranked by it and cut to top_k a query.
+
+    Ties keep the earlier rank. A batch for which the model fails keeps its scores' order below those of the others, so a model that always fails leaves the order as it was.
+    """
+    j = hits.join(queries.select("query_id", F.col("query").alias("_query")), "query_id")
+    score = F.pandas_udf(_scorer(model), "double")(F.col("_query"), F.coalesce(text_col, F.lit("")))
+    j = j.withColumn("_new", score)
+    r = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc_nulls_last("_new"), "rank"))
+    return j.withColumn("_r", r).where(F.col("_r") <= top_k).withColumns({"score": F.coalesce("_new", "score"), "rank": F.col("_r")}).drop("_new", "_r", "_query")
+
+
+def _scorer(model: Callable[[list[str], list[str]], np.ndarray]):
+    def run(query: pd.Series, text: pd.Series) -> pd.Series:
+        try:
+            return pd.Series(np.asarray(model(query.tolist(), text.tolist()), np.float64).round(DIGITS))
+        except Exception:  # noqa: BLE001
+            return pd.Series([None] * len(query), dtype="float64")
+
+    return run
+
+
+GRAM = 3
+
+
 def text_fallback(queries: DataFrame, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(query_id, doc_id, result_id, start, snippet): every text that holds the query, case aside; not limited. The queries are a stated set, broadcast after their size is checked."""
+    """(query_id, doc_id, result_id, start, snippet): every text that holds the query, case aside; not limited.
+
+    A text meets only queries whose rarest three letters it has: an equi-join on them, then the exact check. Queries shorter than that are compared with every text, one by one, on
+    the map side. Null texts and queries match nothing; the empty query matches every text.
+    """
     d = documents.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"), F.lower(text_col).alias("lt"))
-    q = broadcast_if_small(queries.select("query_id", "query", F.lower("query").alias("lq")), 256)
-    j = d.join(q, F.expr("instr(lt, lq) > 0"))
+    q = queries.where("query IS NOT NULL").select("query_id", "query", F.lower("query").alias("lq")).withColumn("n", F.length("lq"))
+    grams = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1)))
+    long = q.where(F.col("n") >= GRAM)
+    asked = long.select("query_id", F.explode(grams(F.col("lq"))).alias("gram"))
+    wanted = broadcast_if_small(asked.select("gram").distinct(), 32)
+    own = d.where(F.length("lt") >= GRAM).select("doc_id", F.explode(grams(F.col("lt"))).alias("gram")).join(wanted, "gram", "left_semi")
+    common = own.groupBy("gram").agg(F.count("*").alias("k"))
+    rarest = asked.join(common, "gram", "left").groupBy("query_id").agg(F.min(F.struct(F.coalesce("k", F.lit(0)).alias("k"), "gram")).alias("r")).where("r.k > 0")
+    keyed = long.join(rarest.select("query_id", "r.gram"), "query_id")
+    keys = broadcast_if_small(keyed.groupBy("gram").agg(F.collect_list(F.struct("query_id", "query", "lq")).alias("qs")), 512)
+    met = d.where(F.length("lt") >= GRAM).select("doc_id", "t", "lt", F.explode(grams(F.col("lt"))).alias("gram")).join(keys, "gram")
+    j = met.select("doc_id", "t", "lt", F.explode(F.filter("qs", lambda x: F.instr(F.col("lt"), x["lq"]) > 0)).alias("x")).select("doc_id", "t", "lt", "x.*")
+    few = q.where(F.col("n") < GRAM).select(F.struct("query_id", "query", "lq").alias("x")).agg(F.collect_list("x").alias("qs"))  # one row, of queries of at most two letters
+    short = d.crossJoin(F.broadcast(few)).select("doc_id", "t", "lt", F.explode(F.filter("qs", lambda x: F.instr(F.col("lt"), x["lq"]) > 0)).alias("x")).select("doc_id", "t", "lt", "x.*")
+    j = j.unionByName(short)
     start = F.greatest(F.lit(0), F.expr("instr(lt, lq)") - 101)
     j = j.withColumn("start", start)
     snippet = F.concat(F.lit("..."), F.translate(F.expr("substring(t, start + 1, length(query) + 200)"), "\n", " "), F.lit("..."))
