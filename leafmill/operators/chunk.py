@@ -41,16 +41,22 @@ def chunk_texts(df: DataFrame, id_col: str = "id", text_col: str = "content") ->
     return _record(e, F.col("c.start"))
 
 
-def _record(e: DataFrame, start: Column) -> DataFrame:
+def _record(e: DataFrame, start: Column, *more: str) -> DataFrame:
     return e.select(
-        "doc_id", "chunk_index", "content", F.sha2("content", 256).alias("content_hash"), start.alias("start_char"), (start + F.length("content")).alias("end_char"), F.floor(F.length("content") / CHARS_PER_TOKEN).cast("int").alias("token_count"),
+        "doc_id", "chunk_index", "content", F.sha2("content", 256).alias("content_hash"), start.alias("start_char"), (start + F.length("content")).alias("end_char"), F.floor(F.length("content") / CHARS_PER_TOKEN).cast("int").alias("token_count"), *more,
     )
 
 
 def chunk_sections(sections: DataFrame) -> DataFrame:
-    """Chunks of (doc_id, order_index, content) rows; chunk_index runs on through a document's sections."""
-    s = sections.where(~blank(F.col("content")))
-    e = s.select("doc_id", "order_index", F.col("content").alias("t"), F.posexplode(chunk_offsets(F.col("content"))).alias("k", "c"))
-    e = e.withColumn("content", strip(F.expr("substring(t, c.start + 1, c.end - c.start)")))
-    e = e.withColumn("chunk_index", (F.row_number().over(W.partitionBy("doc_id").orderBy("order_index", "k")) - 1).cast("int"))
-    return _record(e, F.col("c.start"))
+    """Chunks of (doc_id, order_index, content) rows, with `page_number` their section's page_start, 0 where it has none; chunk_index runs on through a document's sections.
+
+    How many chunks the sections before have is summed up over one small row a section, never over texts. Null and blank contents have no chunk; rows of one place in a document go by content.
+    """
+    page = F.coalesce("page_start", F.lit(0)) if "page_start" in sections.columns else F.lit(0)
+    s = sections.where("doc_id IS NOT NULL AND content IS NOT NULL").where(~blank(F.col("content"))).select("doc_id", "order_index", page.cast("int").alias("page_number"), F.col("content").alias("t"), chunk_offsets(F.col("content")).alias("cuts"), F.sha2("content", 256).alias("_h"))
+    sizes = s.groupBy("doc_id", "order_index", "_h").agg(F.max(F.size("cuts")).alias("n"))
+    before = sizes.withColumn("before", F.sum("n").over(W.partitionBy("doc_id").orderBy("order_index", "_h")) - F.col("n")).drop("n")
+    once = s.groupBy("doc_id", "order_index", "_h").agg(F.min("page_number").alias("page_number"), F.any_value("t").alias("t"))
+    e = once.join(before, ["doc_id", "order_index", "_h"]).select("doc_id", "order_index", "page_number", "t", "before", F.posexplode(chunk_offsets(F.col("t"))).alias("k", "c"))
+    e = e.withColumn("content", strip(F.expr("substring(t, c.start + 1, c.end - c.start)"))).withColumn("chunk_index", (F.col("before") + F.col("k")).cast("int"))
+    return _record(e, F.col("c.start"), "page_number")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DIMENSIONS = 384
@@ -34,6 +34,17 @@ def embed(df: DataFrame, id_col: str = "id", text_col: str = "content", model: C
     return df.select(F.col(id_col), F.col(text_col)).mapInPandas(run, "chunk_id long, level string, model_name string, dimensions int, embedding array<float>")
 
 
+def append_vectors(new: DataFrame, path: str, dimensions: int = DIMENSIONS, vec_col: str = "embedding") -> None:
+    """Vectors of the index's length added to it, each with its own id; others are left out."""
+    same_length(new, dimensions, vec_col).write.mode("append").parquet(path)
+
+
+def load_vectors(spark: SparkSession, path: str, schema: str = "chunk_id long, level string, model_name string, dimensions int, embedding array<float>") -> DataFrame:
+    """The index at `path`; an empty one where there is none yet."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def same_length(df: DataFrame, dimensions: int, vec_col: str = "embedding") -> DataFrame:
     """Rows an index of that length takes; ids stay with their vectors."""
     return df.where(F.size(vec_col) == dimensions)

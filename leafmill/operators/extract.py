@@ -14,6 +14,7 @@ LIST_ITEM = r"^\p{IsWhite_Space}*(?:[-•●▪◦▸►]|[0-9]+[.)]\p{IsWhite_S
 PAGE_NUMBER = r"(?i)^(?:\p{IsWhite_Space}*[-–—]?\p{IsWhite_Space}*[0-9]{1,4}\p{IsWhite_Space}*[-–—]?\p{IsWhite_Space}*|Page\p{IsWhite_Space}+[0-9]+.*)$"
 FIGURE = r"(?i)(?:Figure|Fig\.?|Exhibit|Chart|Graph|Diagram)\p{IsWhite_Space}+[0-9]+"
 BINS, LOW_SHARE, MIN_GUTTER = 100, 0.1, 3
+MIN_OFFSETS, MIN_GAP = 20, 50
 
 
 def page_method(text: Column, ocr_text: Column) -> Column:
@@ -31,6 +32,52 @@ def format_table(table: Column, page: Column, index: Column) -> Column:
     return F.array_join(F.concat(F.array(title), body), "\n")
 
 
+def page_tables(page_input: DataFrame) -> DataFrame:
+    """(doc_path, page_number, table_no, n_rows, text) of each non-empty table of PAGE_INPUT rows, formatted; table_no counts from 1 on each page."""
+    t = page_input.select("doc_path", "page_number", F.posexplode(F.filter("tables", lambda x: F.size(x) > 0)).alias("pos", "t"))
+    no = (F.col("pos") + 1).alias("table_no")
+    return t.select("doc_path", "page_number", no, F.size("t").alias("n_rows"), format_table(F.col("t"), F.col("page_number"), F.col("pos") + 1).alias("text"))
+
+
+def page_results(page_input: DataFrame) -> DataFrame:
+    """(doc_path, page_number, method, text, has_text) of PAGE_INPUT rows: the chosen text; below a text layer, after a blank line, the page's tables. Rows of files that could not be read have no page and give none."""
+    pages = page_input.where("page_number IS NOT NULL").withColumn("m", page_method(F.col("text"), F.col("ocr_text")))
+    tables = F.transform(F.filter(F.coalesce("tables", F.array()), lambda x: F.size(x) > 0), lambda x, i: format_table(x, F.col("page_number"), i + 1))
+    below = F.when((F.col("m.method") == "pdfplumber") & (F.size(tables) > 0), F.concat(F.lit("\n\n"), F.array_join(tables, "\n\n"))).otherwise("")
+    return pages.select("doc_path", "page_number", F.col("m.method").alias("method"), F.concat("m.text", below).alias("text"), (F.col("m.method") != "empty").alias("has_text"))
+
+
+def format_tables(tables: Column) -> Column:
+    """Tables by themselves: cells joined by ' | ', after the first row a rule as long as it but of 40 dashes at least; tables are parted by blank lines."""
+    cell = lambda c: strip(F.replace(F.coalesce(c, F.lit("")), F.lit("\n"), F.lit(" ")))
+    one = lambda rows: F.array_join(F.concat(F.slice(rows, 1, 1), F.array(F.repeat(F.lit("-"), F.greatest(F.lit(40), F.length(rows[0])))), F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))), "\n")
+    joined = F.transform(F.filter(tables, lambda t: F.size(t) > 0), lambda t: F.transform(t, lambda r: F.array_join(F.transform(r, cell), " | ")))
+    return F.array_join(F.transform(joined, one), "\n\n")
+
+
+def drawn_elements(page_input: DataFrame) -> DataFrame:
+    """(doc_path, page_number, element_type, confidence, preview): one row a table of a page, and one for a page with images."""
+    tables = page_tables(page_input).select("doc_path", "page_number", F.lit("table").alias("element_type"), F.lit(0.9).alias("confidence"), F.format_string("Table with %d rows", "n_rows").alias("preview"))
+    figures = page_input.where("n_images > 0").select("doc_path", "page_number", F.lit("figure").alias("element_type"), F.lit(0.9).alias("confidence"), F.format_string("%d images", "n_images").alias("preview"))
+    return tables.unionByName(figures)
+
+
+def median_size(chars: DataFrame, page: str = "page", size: str = "size") -> DataFrame:
+    """(page, median_size): the upper median of the sizes of a page's characters; null sizes don't count, a page without any has no row."""
+    c = chars.where(F.col(size).isNotNull())
+    by_value = c.groupBy(page, F.col(size).alias("_s")).agg(F.count("*").alias("n"))  # sizes are few: what is sorted is small
+    before = F.sum("n").over(W.partitionBy(page).orderBy("_s")) - F.col("n")
+    whole = F.sum("n").over(W.partitionBy(page))
+    return by_value.withColumns({"lo": before, "all": whole}).where("lo <= all DIV 2 AND all DIV 2 < lo + n").select(page, F.col("_s").alias("median_size"))
+
+
+def multi_column(chars: DataFrame, page: str = "page", x0: str = "x0") -> DataFrame:
+    """(page, multi_column): whether a page's characters begin at over 20 different whole offsets with a gap of over 50 between two of them."""
+    xs = chars.where(F.col(x0).isNotNull()).select(page, F.col(x0).cast("int").alias("x")).distinct()
+    gap = F.col("x") - F.lag("x").over(W.partitionBy(page).orderBy("x"))
+    return xs.withColumn("gap", gap).groupBy(page).agg(((F.count("*") > MIN_OFFSETS) & (F.coalesce(F.max("gap"), F.lit(0)) > MIN_GAP)).alias("multi_column"))
+
+
 def method_counts(pages: DataFrame) -> DataFrame:
     """Pages by method a document, repeated rows once."""
     p = pages.select("doc_id", "page_number", "method").distinct()

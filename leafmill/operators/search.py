@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from leafmill.functions.text import md5_mod, strip, words
-from leafmill.session import broadcast_if_small, shared_dir, shuffle_partitions
+from leafmill.session import broadcast_if_small, scratch, shuffle_partitions
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 RRF_K = 60
@@ -57,7 +56,7 @@ def index_chunks(chunks: DataFrame, id_col: str = "id", text_col: str = "content
     """The index of a corpus, each text read and tokenised once; written to `path`, else to the shared folder. A negative idf becomes EPSILON times the mean idf. Null texts are empty ones."""
     spark = chunks.sparkSession
     if path is None:
-        path = f"{shared_dir(spark)}/leafmill-bm25-{uuid.uuid4().hex}"
+        path = scratch(spark)
     if doc_col not in chunks.columns:
         chunks = chunks.withColumn(doc_col, F.lit(None).cast("long"))
     found, _ = postings(chunks, id_col, text_col, (doc_col,))

@@ -13,10 +13,23 @@ def _check(name: str, ok: Column, why: str) -> Column:
     return F.struct(F.lit(name).alias("name"), F.coalesce(ok, F.lit(False)).alias("passed"), F.when(F.coalesce(ok, F.lit(False)), "").otherwise(why).alias("message"))
 
 
-def validate_files(files: DataFrame, virus_free: Column | None = None, extra: dict[str, Column] | None = None, min_bytes: int = MIN_BYTES, max_bytes: int = MAX_BYTES) -> DataFrame:
+def readable_pdf(files: DataFrame) -> DataFrame:
+    """Files with `pages` and `encrypted`, by the reader of sources.pdf: what the checks "Encryption" and "Corruption" need."""
+    from leafmill.sources.files import pdf_metadata
+
+    return files.join(pdf_metadata(files).select("path", "pages", "encrypted", "error"), "path")
+
+
+def integrity() -> dict[str, Column]:
+    """The checks of a `readable_pdf` result: not encrypted; readable with a page or more."""
+    return {"Encryption": ~F.col("encrypted"), "Corruption": F.col("encrypted") | (F.col("error").isNull() & (F.col("pages") > 0))}
+
+
+def validate_files(files: DataFrame, virus_free: Column | None = None, extra: dict[str, Column] | None = None, min_bytes: int = MIN_BYTES, max_bytes: int = MAX_BYTES, known: DataFrame | None = None) -> DataFrame:
     """(path, sha256, checks, passed, summary) of (path, length, content) rows, as the binary file source gives them.
 
     Cheap checks come first and end the matter; only files that pass them compete for being the first with their content, in order of path, part by part.
+    A column `readable` is the permission check, where there is one. `known` (sha256) has contents taken before: no file is the first with those.
     """
     ext = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
     cheap = [
@@ -25,10 +38,14 @@ def validate_files(files: DataFrame, virus_free: Column | None = None, extra: di
         _check("File Size", F.col("length").between(min_bytes, max_bytes), "size out of range"),
         _check("Readable", F.length("content") > 0, "empty or unreadable"),
     ]
-    f = files.select("path", "length", "content").withColumn("cheap", F.array(*cheap)).withColumn("ok", F.forall("cheap", lambda c: c["passed"])).withColumn("sha256", F.sha2("content", 256))
+    if "readable" in files.columns:
+        cheap.append(_check("Permissions", F.col("readable"), "no permission to read"))
+    f = files.withColumn("cheap", F.array(*cheap)).withColumn("ok", F.forall("cheap", lambda c: c["passed"])).withColumn("sha256", F.sha2("content", 256))
     dear = [_check(k, v, k) for k, v in (extra or {}).items()] + [_check("Virus", F.lit(True) if virus_free is None else virus_free, "infected")]
     f = f.withColumn("dear", F.array(*dear)).select("path", "cheap", "dear", "ok", "sha256")
     first = f.where("ok").groupBy("sha256").agg(F.min(F.struct(F.split("path", "/").alias("parts"), "path")).alias("first"))
+    if known is not None:
+        first = first.join(known.select("sha256").distinct(), "sha256", "left_anti")
     j = f.join(first, "sha256", "left")
     dup = _check("Duplicate (SHA-256)", F.col("path") == F.col("first.path"), "same content as an earlier file")
     checks = F.when(F.col("ok"), F.concat("cheap", F.array(dup), "dear")).otherwise(F.col("cheap"))

@@ -231,3 +231,84 @@ ORACLES["representation_lookup"] = "SELECT event_id, CAST(json_extract(props, '$
 ORACLES["events_tumbling"] = "SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL"
 ORACLES["cube_lineitem"] = "SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)"
 ORACLES["setops_docs"] = "SELECT id FROM pdf_documents INTERSECT SELECT doc_id FROM sections UNION (SELECT doc_id FROM chunks EXCEPT SELECT id FROM pdf_documents)"
+
+# Sections whose parent is one of the same document; those whose chain of parents ends in a circle hang at the top.
+_NESTED = """WITH RECURSIVE rows_ AS (SELECT DISTINCT id, doc_id, parent_section_id, order_index, section_type, title, level, content FROM sections WHERE doc_id IS NOT NULL),
+flat AS (SELECT DISTINCT doc_id FROM rows_ WHERE id IS NULL),
+one AS (SELECT id, max(struct_pack(doc_id := doc_id, up := parent_section_id)) AS s FROM rows_ WHERE doc_id NOT IN (SELECT doc_id FROM flat) GROUP BY id),
+n AS (SELECT a.id, a.s.doc_id AS doc_id, b.id AS up FROM one a LEFT JOIN one b ON a.s.up = b.id AND a.s.doc_id = b.s.doc_id),
+t AS (SELECT id FROM n WHERE up IS NULL UNION ALL SELECT n.id FROM t JOIN n ON n.up = t.id),
+tops AS (SELECT doc_id, count(*) FILTER (WHERE up IS NULL OR id NOT IN (SELECT id FROM t)) AS n_top, count(*) AS n_sections FROM n GROUP BY doc_id
+  UNION ALL SELECT doc_id, count(*), 0 FROM rows_ WHERE doc_id IN (SELECT doc_id FROM flat) GROUP BY doc_id)"""
+ORACLES["section_tree"] = f"{_NESTED} SELECT doc_id, CAST(n_top AS INTEGER) AS n_top, CAST(n_sections AS INTEGER) AS n_sections FROM tops"
+ORACLES["representation_built"] = f"{_NESTED} SELECT p.id, p.filename, CAST(coalesce(n_top, 0) AS INTEGER) AS n_top FROM (SELECT id, max(filename) AS filename FROM pdf_documents GROUP BY id) p LEFT JOIN tops ON tops.doc_id = p.id"
+ORACLES["context_parent"] = """SELECT c.id AS chunk_id, md5(coalesce(s.content, '')) AS parent_md5 FROM (SELECT id, max(section_id) AS section_id FROM chunks WHERE id IS NOT NULL GROUP BY id) c
+LEFT JOIN (SELECT id, max(content) AS content FROM sections WHERE id IS NOT NULL GROUP BY id) s ON s.id = c.section_id"""
+_TOP10 = _TOP.format("(SELECT * FROM scored WHERE score > 0)", 10)
+ORACLES["rerank_hits"] = f"""WITH {_Q}, {_BM25}, hits AS ({_TOP10}),
+x AS (SELECT query_id, hits.chunk_id, hits.rank AS r0, list_distinct({_words("lower(query)")}) AS qw, ws FROM hits JOIN q USING (query_id) JOIN w ON w.chunk_id = hits.chunk_id),
+y AS (SELECT query_id, chunk_id, r0, CASE WHEN len(qw) = 0 THEN 0.0 ELSE round(len(list_filter(qw, lambda v: list_contains(ws, v)))::DOUBLE / len(qw), 6) END AS score FROM x)
+SELECT query_id, chunk_id, score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, r0) AS rank FROM y) WHERE rank <= 5"""
+_ANSWERED = f"""hits AS ({_TOP10}), f AS (SELECT query_id, count(*) AS n FROM documents, q WHERE contains(lower(text), query) AND query_id NOT IN (SELECT query_id FROM hits) GROUP BY query_id),
+a AS (SELECT query_id, 'bm25' AS source, count(*) AS n FROM hits GROUP BY query_id UNION ALL SELECT query_id, 'fallback_txt', n FROM f)"""
+ORACLES["fallback_for_empty"] = f"WITH {_Q}, {_BM25}, {_ANSWERED} SELECT * FROM a"
+ORACLES["search_log_rows"] = f"""WITH {_ROUTE}, {_BM25}, {_ANSWERED}
+SELECT query_id, query, intent, CAST(coalesce(n, 0) AS INTEGER) AS results_count, strategy || ' (alpha=' || printf('%.2f', alpha) || ')' || CASE WHEN source = 'fallback_txt' THEN ' + fallback_txt_search' ELSE '' END AS strategy FROM r LEFT JOIN a USING (query_id)"""
+
+
+def _rule_mentions() -> str:
+    from leafmill.operators.graph import DROPPED_LABELS, RULES
+
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    label = "CASE " + " ".join(f"WHEN regexp_full_match(name, {quoted(rule)}) THEN '{k}'" for k, rule in RULES.items()) + " END"
+    each = quoted("(" + "|".join(RULES.values()) + ")")
+    return f"""s0 AS (SELECT doc_id, chunk_id, row_number() OVER () AS r, ss FROM (SELECT doc_id, id AS chunk_id, string_split(regexp_replace(content, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS ss FROM src WHERE content IS NOT NULL)),
+s1 AS (SELECT doc_id, chunk_id, r, generate_subscripts(ss, 1) AS sentence_no, unnest(ss) AS sentence FROM s0),
+s2 AS (SELECT doc_id, chunk_id, sentence_no, regexp_extract_all(sentence, {each}, 1) AS ns FROM s1),
+s3 AS (SELECT doc_id, chunk_id, sentence_no, unnest(ns) AS name, generate_subscripts(ns, 1) AS pos FROM s2),
+s4 AS (SELECT *, {label} AS label FROM s3),
+m AS (SELECT doc_id, chunk_id, sentence_no, pos, label, array_to_string(list_transform(regexp_extract_all({_strip("name")}, '(\\p{{L}}+|[^\\p{{L}}]+)', 1), lambda x: upper(x[1]) || lower(x[2:])), '') AS name FROM s4
+  WHERE label NOT IN ({", ".join(f"'{x}'" for x in DROPPED_LABELS)}) AND length(trim(name)) >= 2)"""
+
+
+ORACLES["rule_entities"] = f"WITH src AS (SELECT id, doc_id, content FROM chunks), {_rule_mentions()} SELECT doc_id, name, label AS entity_type, count(*) AS count FROM m GROUP BY ALL"
+ORACLES["rule_relationships"] = f"""WITH src AS (SELECT DISTINCT id, doc_id, content FROM chunks), {_rule_mentions()},
+ids AS (SELECT doc_id, name, max(length(name) * 1000 + length(label)) AS id FROM m GROUP BY ALL),
+e AS (SELECT a.doc_id, a.name AS source_entity, b.name AS target_entity FROM m a JOIN m b ON a.doc_id = b.doc_id AND a.chunk_id = b.chunk_id AND a.sentence_no = b.sentence_no AND a.pos < b.pos AND a.name <> b.name)
+SELECT e.doc_id, source_entity, target_entity, CAST(x.id AS INTEGER) AS source_id, CAST(y.id AS INTEGER) AS target_id, count(*) AS n FROM e
+JOIN ids x ON x.doc_id = e.doc_id AND x.name = source_entity JOIN ids y ON y.doc_id = e.doc_id AND y.name = target_entity GROUP BY ALL"""
+ORACLES["chunk_sections"] = f"""WITH RECURSIVE d AS (SELECT doc_id, order_index, sha256(content) AS h, any_value(content) AS t, min(coalesce(page_start, 0)) AS page_number FROM sections WHERE doc_id IS NOT NULL AND {_strip("content")} <> '' GROUP BY ALL),
+r AS (
+  SELECT doc_id, order_index, h, page_number, t, length(t) AS n, 0 AS k, CAST(0 AS BIGINT) AS s, {_END.replace("s + ", "0 + ").replace("n <=", "length(t) <=").replace(">= n", ">= length(t)").replace("THEN n ", "THEN length(t) ")} AS e FROM d
+  UNION ALL
+  SELECT doc_id, order_index, h, page_number, t, n, k, s, {_END} FROM (SELECT doc_id, order_index, h, page_number, t, n, k + 1 AS k, CASE WHEN e - 256 > 0 THEN e - 256 ELSE e END AS s FROM r WHERE e < n)
+), x AS (SELECT *, {_strip("substr(t, s + 1, e - s)")} AS c FROM r)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY order_index NULLS FIRST, h, k) - 1 AS INTEGER) AS chunk_index, sha256(c) AS content_hash, CAST(s AS INTEGER) AS start_char, CAST(s + length(c) AS INTEGER) AS end_char, CAST(length(c) // 4 AS INTEGER) AS token_count, page_number FROM x"""
+ORACLES["enriched_documents"] = f"""WITH s AS (SELECT DISTINCT doc_id, order_index, id, content FROM sections WHERE doc_id IS NOT NULL AND content <> ''),
+ft AS (SELECT doc_id AS id, string_agg(content, ' ' ORDER BY order_index NULLS FIRST, id NULLS FIRST, content) AS text FROM s GROUP BY doc_id),
+tk AS (SELECT id, {_TOK} AS ws FROM ft), x AS (SELECT id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM tk),
+c AS (SELECT id, word, count(*) AS n, min(pos) AS at0 FROM x WHERE word NOT IN ({", ".join(f"'{v}'" for v in _STOP.split())}) GROUP BY id, word),
+kw AS (SELECT id, string_agg(word, ' ' ORDER BY rank) AS keywords FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, at0) AS rank FROM c) WHERE rank <= 10 GROUP BY id),
+h AS (SELECT id, {_HITS} FROM (SELECT id, lower(text) AS t FROM ft)), b AS (SELECT *, greatest({", ".join(_TYPES)}) AS best FROM h),
+ty AS (SELECT id, CASE WHEN best <= 2 THEN 'general' {" ".join(f"WHEN {k} = best THEN '{k}'" for k in _TYPES)} END AS found FROM b)
+SELECT p.id, coalesce(found, doc_type) AS doc_type, CAST(len(ws) AS INTEGER) AS word_count, keywords FROM (SELECT id, max(doc_type) AS doc_type FROM pdf_documents GROUP BY id) p LEFT JOIN tk ON tk.id = p.id LEFT JOIN kw ON kw.id = p.id LEFT JOIN ty ON ty.id = p.id"""
+ORACLES["chunk_counts"] = "SELECT doc_id, count(*) AS n FROM chunks GROUP BY doc_id"
+_PAGES = "p AS (SELECT CAST(doc_id AS VARCHAR) AS doc_path, page_number, max(method) AS method, max(text) AS text FROM page_results GROUP BY ALL)"
+_TABLE = "'[Table 1 — Page ' || page_number || ']' || chr(10) || coalesce(method, '') || ' | ' || chr(10) || repeat('-', 40) || chr(10) || 'a b | ' || page_number"
+_SEEN = _words("text")
+ORACLES["page_extraction"] = f"""WITH {_PAGES}, m AS (SELECT *, CASE WHEN method IN ('pdfplumber', 'ocr') AND len({_SEEN}) > 0 THEN method ELSE 'empty' END AS found FROM p)
+SELECT doc_path, page_number, found AS method, found <> 'empty' AS has_text, md5(CASE WHEN found = 'empty' THEN '' ELSE text END || CASE WHEN found = 'pdfplumber' AND page_number % 2 = 0 THEN chr(10) || chr(10) || {_TABLE} ELSE '' END) AS text_md5 FROM m"""
+ORACLES["page_tables"] = f"WITH {_PAGES} SELECT doc_path, page_number, 1 AS table_no, 2 AS n_rows, {_TABLE} AS text FROM p WHERE page_number % 2 = 0"
+ORACLES["drawn_elements"] = f"""WITH {_PAGES} SELECT doc_path, page_number, 'table' AS element_type, 0.9::DOUBLE AS confidence, 'Table with 2 rows' AS preview FROM p WHERE page_number % 2 = 0
+UNION ALL SELECT doc_path, page_number, 'figure', 0.9, (page_number % 3) || ' images' FROM p WHERE page_number % 3 > 0"""
+ORACLES["order_tables"] = """WITH r AS (SELECT l_orderkey, concat_ws(' | ', l_linenumber, trim(l_returnflag), trim(l_linestatus)) AS line, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag, l_linestatus) AS k FROM lineitem)
+SELECT l_orderkey, md5(string_agg(CASE WHEN k = 1 THEN line || chr(10) || repeat('-', greatest(40, length(line))::INTEGER) ELSE line END, chr(10) ORDER BY k)) AS table_md5 FROM r GROUP BY l_orderkey"""
+ORACLES["median_size"] = "SELECT user_id AS page, list_sort(list(value))[count(*) // 2 + 1] AS median_size FROM events WHERE value IS NOT NULL GROUP BY user_id"
+ORACLES["multi_column"] = """WITH x AS (SELECT DISTINCT user_id AS page, CAST(trunc(abs(value)) AS INTEGER) AS x FROM events WHERE value IS NOT NULL), g AS (SELECT page, x - lag(x) OVER (PARTITION BY page ORDER BY x) AS gap FROM x)
+SELECT page, count(*) > 20 AND coalesce(max(gap), 0) > 50 AS multi_column FROM g GROUP BY page"""
+ORACLES["delete_cascade"] = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t} WHERE NOT EXISTS (SELECT 1 FROM pdf_documents p WHERE p.status <> 'indexed' AND p.id = {t}.doc_id)" for t in ("sections", "chunks", "chunk_embeddings", "page_results")) + " UNION ALL SELECT 'search_logs', count(*) FROM search_logs"
+ORACLES["live_vectors"] = "SELECT model_name, level, count(*) AS n FROM chunk_embeddings WHERE chunk_id IS NULL OR chunk_id IN (SELECT id FROM chunks WHERE token_count > 0) GROUP BY ALL"
+ORACLES["text_paths"] = "SELECT DISTINCT id, CASE WHEN strpos(substr(filename, 2), '.') > 0 THEN regexp_replace(filename, '\\.[^.]*$', '') ELSE filename END || '.txt' AS text_path FROM pdf_documents"
+ORACLES["events_sessions"] = """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '30 minutes' THEN 0 ELSE 1 END AS fresh FROM events),
+s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k"""
+ORACLES["approx_distinct_users"] = "SELECT event_type, count(DISTINCT user_id) AS n, true AS near FROM events GROUP BY event_type"

@@ -12,7 +12,7 @@ from leafmill.operators import hierarchy as hi
 from leafmill.operators import search as se
 from leafmill.plans import api
 from leafmill.session import read_table
-from leafmill.sources import store
+from leafmill.sources import files, store
 from leafmill.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -329,3 +329,150 @@ def setops_docs(spark: SparkSession, d: str) -> DataFrame:
     docs, sections, chunks = (read_table(spark, d, t) for t in ("pdf_documents", "sections", "chunks"))
     of = lambda df: df.select(F.col("doc_id").alias("id"))
     return docs.select("id").intersect(of(sections)).unionByName(of(chunks).subtract(docs.select("id"))).distinct()
+
+
+@query
+def section_tree(spark: SparkSession, d: str) -> DataFrame:
+    """Each document's nested tree, by its sections at the top and in all."""
+    t = parse.section_tree(read_table(spark, d, "sections"))
+    return t.select("doc_id", F.json_array_length("tree").alias("n_top"), F.size(F.regexp_extract_all("tree", F.lit('("children":\\[)'), F.lit(1))).alias("n_sections"))
+
+
+@query
+def representation_built(spark: SparkSession, d: str) -> DataFrame:
+    """What a lookup finds in the metadata column after the unified representation is put there."""
+    docs = read_table(spark, d, "pdf_documents").groupBy("id").agg(*(F.max(c).alias(c) for c in ("filename", "title", "doc_type", "metadata_json")))
+    r = parse.represented(docs, parse.section_tree(read_table(spark, d, "sections")))
+    v = F.try_parse_json("metadata_json")
+    return r.select("id", F.try_variant_get(v, "$.unified_representation.document.filename", "string").alias("filename"), F.size(F.try_variant_get(v, "$.unified_representation.sections", "array<variant>")).alias("n_top"))
+
+
+@query
+def context_parent(spark: SparkSession, d: str) -> DataFrame:
+    """Every chunk as a hit, with its parent section's content."""
+    chunks = read_table(spark, d, "chunks")
+    hits = chunks.where("id IS NOT NULL").select(F.col("id").alias("chunk_id")).distinct()
+    return se.with_parents(hits, chunks, read_table(spark, d, "sections")).select("chunk_id", F.md5("parent_content").alias("parent_md5"))
+
+
+@query
+def rerank_hits(spark: SparkSession, d: str) -> DataFrame:
+    q, chunks = _queries(spark, d), read_table(spark, d, "chunks")
+    texts = chunks.where("id IS NOT NULL").groupBy(F.col("id").alias("chunk_id")).agg(F.max("content").alias("content"))
+    return se.rerank(se.bm25(q, chunks).join(texts, "chunk_id"), q, 5).select("query_id", "chunk_id", "score", "rank")
+
+
+def _answered(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    q = _queries(spark, d)
+    hits = se.bm25(q, read_table(spark, d, "chunks")).select("query_id", "chunk_id", F.lit(0).alias("doc_id"), "score", F.lit("bm25").alias("source"))
+    return q, api.search_with_fallback(hits, q, read_table(spark, d, "documents"))
+
+
+@query
+def fallback_for_empty(spark: SparkSession, d: str) -> DataFrame:
+    """Results of each query by where they are from: the text fallback answers only those without hits."""
+    return _answered(spark, d)[1].groupBy("query_id", "source").agg(F.count("*").alias("n"))
+
+
+@query
+def search_log_rows(spark: SparkSession, d: str) -> DataFrame:
+    q, found = _answered(spark, d)
+    return api.log_rows(q, found).drop("latency_ms")
+
+
+@query
+def rule_relationships(spark: SparkSession, d: str) -> DataFrame:
+    """Co-occurrences of entities in the sentences of chunks, with the ids of both."""
+    mentions = graph.usable_entities(graph.rule_entities(read_table(spark, d, "chunks").select("id", "doc_id", "content").distinct()))
+    entities = graph.entity_counts(mentions).withColumn("id", F.length("name") * 1000 + F.length("entity_type"))
+    edges = graph.with_ids(graph.cooccurrences(mentions, ["doc_id", "chunk_id", "sentence_no"]), entities)
+    return edges.groupBy("doc_id", "source_entity", "target_entity", "source_id", "target_id").agg(F.count("*").alias("n"))
+
+
+@query
+def chunk_sections(spark: SparkSession, d: str) -> DataFrame:
+    return chunk.chunk_sections(read_table(spark, d, "sections")).drop("content")
+
+
+@query
+def enriched_documents(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "pdf_documents").groupBy("id").agg(F.max("doc_type").alias("doc_type"))
+    return enrich.enrich(docs, read_table(spark, d, "sections")).select("id", "doc_type", "word_count", F.array_join("keywords", " ").alias("keywords"))
+
+
+@query
+def chunk_counts(spark: SparkSession, d: str) -> DataFrame:
+    return store.count_by(read_table(spark, d, "chunks"))
+
+
+def _page_input(spark: SparkSession, d: str) -> DataFrame:
+    """Pages in the shape of PAGE_INPUT: texts by their method; a table on even pages, an empty one on others; every third page without images."""
+    p = read_table(spark, d, "page_results").groupBy("doc_id", "page_number").agg(F.max("method").alias("method"), F.max("text").alias("text"))
+    cells = F.array(F.array(F.col("method"), F.lit(None).cast("string")), F.array(F.lit(" a\nb "), F.col("page_number").cast("string")))
+    return p.select(
+        F.col("doc_id").cast("string").alias("doc_path"), "page_number", F.when(F.col("method") == "pdfplumber", F.col("text")).alias("text"), F.when(F.col("method") == "ocr", F.col("text")).alias("ocr_text"),
+        F.array(F.when(F.col("page_number") % 2 == 0, cells).otherwise(F.array().cast("array<array<string>>"))).alias("tables"), (F.col("page_number") % 3).alias("n_images"),
+    )
+
+
+@query
+def page_extraction(spark: SparkSession, d: str) -> DataFrame:
+    return extract.page_results(_page_input(spark, d)).select("doc_path", "page_number", "method", "has_text", F.md5("text").alias("text_md5"))
+
+
+@query
+def page_tables(spark: SparkSession, d: str) -> DataFrame:
+    return extract.page_tables(_page_input(spark, d))
+
+
+@query
+def drawn_elements(spark: SparkSession, d: str) -> DataFrame:
+    return extract.drawn_elements(_page_input(spark, d))
+
+
+@query
+def order_tables(spark: SparkSession, d: str) -> DataFrame:
+    """An order's lines as a table by itself."""
+    rows = F.array_sort(F.collect_list(F.struct("l_linenumber", F.array(F.col("l_linenumber").cast("string"), "l_returnflag", "l_linestatus").alias("r"))))
+    t = read_table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.transform(rows, lambda s: s["r"]).alias("t"))
+    return t.select("l_orderkey", F.md5(extract.format_tables(F.array("t"))).alias("table_md5"))
+
+
+@query
+def median_size(spark: SparkSession, d: str) -> DataFrame:
+    return extract.median_size(read_table(spark, d, "events").select(F.col("user_id").alias("page"), F.col("value").alias("size")))
+
+
+@query
+def multi_column(spark: SparkSession, d: str) -> DataFrame:
+    return extract.multi_column(read_table(spark, d, "events").select(F.col("user_id").alias("page"), F.abs("value").alias("x0")))
+
+
+@query
+def delete_cascade(spark: SparkSession, d: str) -> DataFrame:
+    gone = read_table(spark, d, "pdf_documents").where("status <> 'indexed'").select(F.col("id").alias("doc_id"))
+    return store.table_counts(store.delete_documents({t: read_table(spark, d, t) for t in ("sections", "chunks", "chunk_embeddings", "page_results", "search_logs")}, gone))
+
+
+@query
+def live_vectors(spark: SparkSession, d: str) -> DataFrame:
+    kept = store.live(read_table(spark, d, "chunk_embeddings"), read_table(spark, d, "chunks").where("token_count > 0"))
+    return kept.groupBy("model_name", "level").agg(F.count("*").alias("n"))
+
+
+@query
+def text_paths(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "pdf_documents").select("id", files.text_path(F.concat(F.lit("/data/in.d/"), "filename")).alias("text_path")).distinct()
+
+
+@query
+def events_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions of a user: events with at most 30 minutes between them."""
+    return ingest.sessions(read_table(spark, d, "events"))
+
+
+@query
+def approx_distinct_users(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a sketch's count of users is within five times its stated error of the true one, by type of event."""
+    e = read_table(spark, d, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("about"), F.count_distinct("user_id").alias("n"))
+    return e.select("event_type", "n", (F.abs(F.col("about") - F.col("n")) <= 0.1 * F.col("n")).alias("near"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: A side of a join is only ever hinted for broadcast below this many rows times columns' widths.
 BROADCAST_BYTES = 32 << 20
+_scratch: set[str] = set()
 
 
 def get_spark(app: str = "leafmill", master: str = "local[*]", partitions: int = 8) -> SparkSession:
@@ -31,9 +32,11 @@ def get_spark(app: str = "leafmill", master: str = "local[*]", partitions: int =
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or, where that is unset (tests), a folder of our own."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or, where that is unset and all run on this machine (tests), a folder of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         own = tempfile.mkdtemp(prefix="leafmill-")
         atexit.register(shutil.rmtree, own, True)
         found = f"file://{own}"
@@ -44,11 +47,33 @@ def shared_dir(spark: SparkSession) -> str:
 def materialise(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back: lineage is cut and an executor's loss costs nothing already written."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/leafmill-{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, below one folder of this application's, which `clean` or the end of the driver removes."""
+    base = f"{shared_dir(spark)}/leafmill-{spark.sparkContext.applicationId}"
+    if base not in _scratch:
+        _scratch.add(base)
+        atexit.register(_remove, spark, base)
+    return f"{base}/{uuid.uuid4().hex}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Removes what this application has written to the shared folder; frames that read it are of no use afterwards."""
+    for base in list(_scratch):
+        _remove(spark, base)
+
+
+def _remove(spark: SparkSession, base: str) -> None:
+    if base in _scratch and spark.sparkContext._jsc is not None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _scratch.discard(base)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -2,17 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafmill.schemas import TABLES
 
-def upsert(old: DataFrame, new: DataFrame, key: str, keep: tuple[str, ...] = ("id", "created_at")) -> DataFrame:
-    """Rows of `new` replace those of `old` with the same key, but for the columns in `keep`; one row a key is taken from each side, the greatest."""
+
+def upsert(old: DataFrame, new: DataFrame, key: str, keep: tuple[str, ...] = ("id", "created_at"), newest: str | None = None) -> DataFrame:
+    """Rows of `new` replace those of `old` with the same key, but for the columns in `keep`.
+
+    One row a key is taken from each side, the one with the greatest `newest`, on a tie or without that column the greatest. Rows without a key match nothing and all stay.
+    """
     cols = [c for c in old.columns if c != key]
-    one = lambda df: df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*cols)).alias("_v"))
+    order = [newest, *(c for c in cols if c != newest)] if newest else cols
+    one = lambda df: df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*order)).alias("_v"))
     j = one(old).withColumnRenamed("_v", "o").join(one(new).withColumnRenamed("_v", "n"), key, "full_outer")
     pick = lambda c: F.coalesce(F.col(f"o.{c}"), F.col(f"n.{c}")) if c in keep else F.when(F.col("n").isNotNull(), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}"))
-    return j.select(key, *(pick(c).alias(c) for c in cols)).select(*old.columns)
+    keyless = old.unionByName(new).where(F.col(key).isNull())
+    return j.select(key, *(pick(c).alias(c) for c in cols)).select(*old.columns).unionByName(keyless)
+
+
+def create_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All tables of `schemas.TABLES` below `folder`, made where absent; columns that an older table lacks come out null."""
+    out = {}
+    for name, schema in TABLES.items():
+        path = f"{folder}/{name}"
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+        out[name] = spark.read.schema(schema).parquet(path)
+    return out
+
+
+def delete_documents(tables: dict[str, DataFrame], gone: DataFrame) -> dict[str, DataFrame]:
+    """Tables without all that belongs to the documents in `gone` (doc_id): rows of each table with a doc_id go; one key set serves all."""
+    return {name: delete_by(df, gone, "doc_id") if "doc_id" in df.columns else df for name, df in tables.items()}
+
+
+def live(vectors: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Vectors whose chunk is still there; those of documents (chunk_id null) stay."""
+    kept = vectors.join(chunks.select(F.col("id").alias("chunk_id")).distinct(), "chunk_id", "left_semi")
+    return kept.select(*vectors.columns).unionByName(vectors.where("chunk_id IS NULL"))
 
 
 def delete_by(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
@@ -45,3 +73,8 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def count_by(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, n): rows a key; null keys count as one key."""
+    return df.groupBy(key).agg(F.count("*").alias("n"))
