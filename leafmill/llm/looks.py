@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 import sys
 import unicodedata
@@ -13,6 +14,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.session import materialise
+
+#: Copies of one text are spread over so many keys.
+SALTS = 8
 # Letters of other alphabets whose printed shape is a Latin letter's.
 SAME_SHAPE = (
     ("АВЕЅІЈКМНОРСТУХҮԌԚԜӀ", "ABESIJKMHOPCTYXYGQWI"),  # Cyrillic capitals
@@ -126,70 +131,79 @@ def _joiners(text: str, j: str) -> str:
     return "".join([*out, parts[-1]])
 
 
-def _forms(fold_case: bool, fold_looks: bool, keep: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
+MEMO = 200_000
 
-        for b in batches:
-            forms = [look_form(t, fold_case, fold_looks) for t in b.column(1).to_pylist()]
-            last = pa.array(forms, pa.string()) if keep else pa.array([hashlib.md5(f.encode("utf-8", "surrogatepass")).digest() if f else None for f in forms], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), last], ["th", "form"])
 
-    return run
+class _Known(dict):
+    """Forms, or their digests, by the digest of a text: each distinct text met in a task is worked out once; starts anew when full."""
+
+    def __missing__(self, key: bytes) -> None:
+        if len(self) > MEMO:
+            self.clear()
+        return None
+
+
+def _digest(s: str) -> bytes:
+    return hashlib.md5(s.encode("utf-8", "surrogatepass")).digest()
 
 
 def normalise_looks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold_case: bool = False, fold_looks: bool = True) -> DataFrame:
-    """(id, form) of every row, repeated rows included once for each; each distinct text is worked out once and joined back by its digest.
+    """(id, form) of every row, repeated rows included once for each; each distinct text of a batch is worked out once, where it lies: nothing is shuffled.
 
     Null text: null form. Blank text: empty form. Other columns are ignored.
     """
-    rows = df.select(F.col(id_col).alias(id_col), F.col(text_col).alias("text")).withColumn("th", F.md5("text"))
-    each = rows.where("text IS NOT NULL").groupBy("th").agg(F.first("text").alias("text")).mapInArrow(_forms(fold_case, fold_looks, True), "th string, form string")
-    return rows.drop("text").join(each, "th", "left").select(id_col, "form")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values = b.column(1).dictionary_encode()
+            forms = pa.array([look_form(t, fold_case, fold_looks) for t in values.dictionary.to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), forms.take(values.indices)], [id_col, "form"])
+
+    return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {dict(df.dtypes)[id_col]}, form string")
+
+
+def look_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold_case: bool = False) -> DataFrame:
+    """(id, class_id, text_id, n_texts): for every row with something visible, the smallest id of its looks' class, the smallest id with the very same text, and how many different texts the class has.
+
+    One row an id, whatever the number of copies: the whole result for classes of boilerplate, where pairs would be quadratic. Only digests are shuffled; copies are folded before texts meet.
+    """
+    rows = df.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("th"), F.col(text_col).alias("text"))
+    forms = _with_digest(rows, fold_case)
+    texts = forms.groupBy("form", "th").agg(F.min("id").alias("text_id"))
+    classes = texts.groupBy("form").agg(F.min("text_id").alias("class_id"), F.count("*").alias("n_texts"))
+    named = texts.join(classes, "form").select("th", "text_id", "class_id", "n_texts")
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")  # a text may have a third of all rows as its copies
+    spread = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return forms.select("id", "th").distinct().withColumn("salt", salt).join(spread, ["th", "salt"]).select(F.col("id").alias(id_col), "class_id", "text_id", "n_texts")
 
 
 def same_looks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold_case: bool = False) -> DataFrame:
     """Pairs (<id>_a, <id>_b), smaller id first, of rows whose texts differ but share one form.
 
     Only digests are shuffled, and only forms with two or more different texts go on, so copies of one text, however
-    many, meet nobody. Texts with nothing visible, nulls among them, pair with none. Repeated rows count once.
+    many, meet nobody. Texts with nothing visible, nulls among them, pair with none. Repeated rows count once. The result is as long as there are such
+    pairs; `look_classes` has the same in one row an id.
     """
     a, b = f"{id_col}_a", f"{id_col}_b"
-    rows = df.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("th"), F.col(text_col).alias("text"))
-    forms = _with_digest(rows, fold_case)
-    # distinct texts of each form, copies folded away before anything meets
-    texts = forms.groupBy("form", "th").agg(F.count("*").alias("n"))
-    mixed = texts.groupBy("form").agg(F.count("*").alias("k")).where("k > 1").select("form")
-    texts = texts.join(mixed, "form", "left_semi").select("form", "th")
-    meet = texts.alias("x").join(texts.alias("y"), F.expr("x.form = y.form AND x.th < y.th")).select(F.col("x.th").alias("t1"), F.col("y.th").alias("t2"))
-    ids = forms.select("id", "th").distinct()
-    one = meet.join(ids.withColumnsRenamed({"id": "i1", "th": "t1"}), "t1")
-    both = one.join(ids.withColumnsRenamed({"id": "i2", "th": "t2"}), "t2").where("i1 <> i2")
-    return both.select(F.least("i1", "i2").alias(a), F.greatest("i1", "i2").alias(b)).distinct()
+    classes = materialise(look_classes(df, id_col, text_col, fold_case).where("n_texts > 1").select(F.col(id_col).alias("id"), "class_id", "text_id"))
+    x, y = classes.select(F.col("id").alias("i1"), "class_id", F.col("text_id").alias("t1")), classes.select(F.col("id").alias("i2"), "class_id", F.col("text_id").alias("t2"))
+    return x.join(y, "class_id").where("i1 < i2 AND t1 <> t2").select(F.col("i1").alias(a), F.col("i2").alias(b)).distinct()
 
 
 def _with_digest(rows: DataFrame, fold_case: bool) -> DataFrame:
     """(id, th, form): digests of the text and of its form, each 16 bytes, written once and read by every later step."""
-    from leafmill.session import materialise
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
-        def digest(s: str) -> bytes:
-            return hashlib.md5(s.encode("utf-8", "surrogatepass")).digest()
-
-        known: dict[bytes, bytes | None] = {}  # distinct texts met in this task
+        known = _Known()
         for b in batches:
             th, fm = [], []
             for text in b.column(1).to_pylist():
-                t = digest(text)
-                if t not in known:
-                    if len(known) > 200_000:
-                        known.clear()
+                t = _digest(text)
+                found = known[t]
+                if found is None:
                     form = look_form(text, fold_case)
-                    known[t] = digest(form) if form else None
+                    found = known[t] = _digest(form) if form else b""
                 th.append(t)
-                fm.append(known[t])
+                fm.append(found or None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(th, pa.binary()), pa.array(fm, pa.binary())], ["id", "th", "form"])
 
     kind = dict(rows.dtypes)["th"]

@@ -75,6 +75,13 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return both_tables(lambda df, _: split.split_texts(df), spark, d)
 
 
+@query
+def p5_token_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Pieces of at most 512 tokens, each repeating up to 64 of the one before."""
+    pieces = both_tables(lambda df, _: split.split_texts(df, limit=512, overlap=64, with_text=False, vocabulary=f"{encode.TOKENIZERS}/{encode.VOCABULARY}"), spark, d)
+    return pieces
+
+
 @query
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_corpus(read_table(spark, d, "documents"))
@@ -96,6 +103,11 @@ def p8_forms(spark: SparkSession, d: str) -> DataFrame:
     return looks.normalise_looks(read_table(spark, d, "documents"))
 
 
+@query
+def p8_classes(spark: SparkSession, d: str) -> DataFrame:
+    return looks.look_classes(read_table(spark, d, "documents"))
+
+
 @query
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return looks.same_looks(read_table(spark, d, "documents"))

@@ -31,7 +31,7 @@ EDGE = ".,;:!?…()[]{}\"'“”‘’«»„–—*•▪"
 UNREADABLE = "�"
 #: Share of an edge line's letters that may differ from a recurring line's.
 HEADER_DIFFERENCE = 0.2
-#: How many of the most frequent words each task holds; all others are looked up by a join.
+#: How many of the most frequent words each task holds; all others are looked up by a join, so this saves look-ups and decides nothing.
 FREQUENT_WORDS = 50_000
 #: A word that confusions explain is another one misread if that one is at least so many times as frequent: for words met up to FEW times, and for others.
 FEW = 3
@@ -206,7 +206,14 @@ def furniture(pages: DataFrame) -> DataFrame:
     rest = materialise(rest)
     keys = rest.groupBy("doc_id", "key").agg(F.count_distinct("page_number").alias("n"))
     base = keys.where("n > 1").select("doc_id", F.col("key").alias("base"))
-    pair = keys.select("doc_id", "key").join(base, "doc_id").where("abs(length(key) - length(base)) <= 2 + length(base) / 8")
+
+    def of_like_length(bases: DataFrame) -> DataFrame:
+        """Keys with the bases of their document that are about as long; they meet by length, so a long document is spread over many join keys."""
+        most = F.floor(2 + F.length("base") / 8).cast("int")
+        spread = bases.withColumn("len", F.explode(F.sequence(F.greatest(F.lit(0), F.length("base") - most), F.length("base") + most)))
+        return keys.select("doc_id", "key", F.length("key").alias("len")).join(spread, ["doc_id", "len"]).select("doc_id", "key", "base")
+
+    pair = of_like_length(base)
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -219,8 +226,7 @@ def furniture(pages: DataFrame) -> DataFrame:
     like = materialise(pair.mapInArrow(close, "doc_id long, key string, base string"))
     # each copy of a header may hold another unreadable character: such a key seen once is a base if it is near no other
     lone = keys.where((F.col("n") == 1) & F.col("key").contains(UNREADABLE)).join(like, ["doc_id", "key"], "left_anti").select("doc_id", F.col("key").alias("base"))
-    more = keys.select("doc_id", "key").join(lone, "doc_id").where("abs(length(key) - length(base)) <= 2 + length(base) / 8")
-    like = like.unionByName(more.mapInArrow(close, "doc_id long, key string, base string"))
+    like = like.unionByName(of_like_length(lone).mapInArrow(close, "doc_id long, key string, base string"))
     member = rest.join(like, ["doc_id", "key"])
     enough = member.groupBy("doc_id", "base").agg(F.count_distinct("page_number").alias("n")).where("n > 2").select("doc_id", "base")
     header = member.join(enough, ["doc_id", "base"], "left_semi").select("doc_id", "page_number", "line_no", F.lit("header").alias("kind")).distinct()
@@ -264,7 +270,7 @@ _EVENT = "doc_id long, page_number int, line_no int, what string, a string, page
 
 
 class _Kinds(dict):
-    """What a token is apart from its place: 0 fine, 1 marked, 2 a stray mark if it doesn't begin the line; else the rare word it holds."""
+    """What a token is apart from its place: 0 fine, 1 marked, 2 a stray mark if it doesn't begin the line; else the rare word it holds, after a # where it looks like a number with letters in it."""
 
     def __init__(self, known: set[str]) -> None:
         super().__init__()
@@ -277,7 +283,7 @@ class _Kinds(dict):
         elif _STRAY.fullmatch(t) and t not in "|=+<>#&@§*_•":
             kind = 2
         elif _NUMBERISH.fullmatch(t.strip(EDGE)) and w not in self.known:
-            kind = 1
+            kind = "#" + w
         else:
             kind = w if len(w) > 2 and w not in self.known and any(map(str.isalpha, w)) else 0
         if len(self) > 500_000:
@@ -287,7 +293,7 @@ class _Kinds(dict):
 
 
 def _events(frequent):
-    """Per page: marks ('mark'), rare words ('word', or 'word0' where the page begins with it), words broken at line ends with what follows ('pair'), or with what follows on another page ('last'), and how the page begins ('first')."""
+    """Per page: marks ('mark'), numbers with letters in them ('number'), rare words ('word', or 'word0' where the page begins with it), words broken at line ends with what follows ('pair'), or with what follows on another page ('last'), and how the page begins ('first')."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds_of = _Kinds(frequent.value)
@@ -313,12 +319,12 @@ def _events(frequent):
                             continue
                         if w == 2:
                             marked |= at > 0
-                        elif w == 1 and (UNREADABLE in tokens[at] or _INSIDE.search(tokens[at])):
+                        elif w == 1:
                             marked = True
                         elif (carried and at == 0) or (ends and at == len(tokens) - 1):
                             continue
-                        elif w == 1:
-                            marked = True
+                        elif w[0] == "#":
+                            out.append((doc, page, no, "number", w[1:], None, None, None))
                         else:
                             out.append((doc, page, no, "word" if k or at else "word0", w, None, None, None))
                             if tokens[at].endswith("!"):  # the last letter, perhaps
@@ -427,8 +433,8 @@ def read_noise(page_results: DataFrame) -> dict[str, DataFrame]:
     gone = furniture(pages)
     vocab = vocabulary(page_results)
     misread = materialise(_corrections(vocab.select("word"), vocab))
-    common = vocab.where("n > 20").join(misread, "word", "left_anti").orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS)
-    frequent = spark.sparkContext.broadcast({r["word"] for r in common.select("word").collect()})
+    common = materialise(vocab.where("n > 20").join(misread, "word", "left_anti"))
+    frequent = spark.sparkContext.broadcast({r["word"] for r in common.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS).select("word").collect()})
     by_page = gone.groupBy("doc_id", "page_number").agg(F.collect_set("line_no").alias("gone"))  # at most four lines a page
     events = materialise(pages.join(by_page, ["doc_id", "page_number"], "left").select("doc_id", "page_number", "text", "gone").mapInArrow(_events(frequent), _EVENT))
     pairs = events.where("what = 'pair'").unionByName(_across_pages(events))
@@ -446,7 +452,8 @@ def read_noise(page_results: DataFrame) -> dict[str, DataFrame]:
     first = broken.where(F.exists("at", lambda x: x < cut)).select("doc_id", "page_number", "line_no")
     second = broken.where(F.exists("at", lambda x: x >= cut)).select("doc_id", F.col("page2").alias("page_number"), F.col("line2").alias("line_no"))
     fixed = words.unionByName(broken.select("doc_id", "page_number", "line_no", fixes["word"], "printed", "at"))
-    return {"pages": pages, "furniture": gone, "hyphens": hyphens.where("solid"), "words": words, "fixed": fixed, "marks": events.where("what = 'mark'").select("doc_id", "page_number", "line_no").unionByName(first).unionByName(second)}
+    odd = events.where("what = 'number'").select("doc_id", "page_number", "line_no", F.col("a").alias("word")).join(common, "word", "left_anti").drop("word")
+    return {"pages": pages, "furniture": gone, "hyphens": hyphens.where("solid"), "words": words, "fixed": fixed, "marks": events.where("what = 'mark'").select("doc_id", "page_number", "line_no").unionByName(odd).unionByName(first).unionByName(second)}
 
 
 def noisy_lines(page_results: DataFrame) -> DataFrame:

@@ -6,34 +6,68 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.llm.encode import automaton, share_vocabulary
+from leafmill.session import broadcast_if_small, materialise
+
 LIMIT, OVERLAP = 2304, 256
 
 #: Boundaries from the best to the least: after a blank line, after a line, after a sentence, after white space.
 _AFTER = (re.compile(r"\n\s*\n\s*"), re.compile(r"\n\s*"), re.compile(r"[.!?…。]['\"»”)\]]*\s+"), re.compile(r"\s+"))
 
 
-def boundaries(text: str, runs: list[int] | None = None) -> list[list[int]]:
+def boundaries(text: str) -> list[list[int]]:
     """For each kind, the sorted offsets at which a piece may end (and the next begin). White space is what Python calls so."""
     return [[m.end() for m in p.finditer(text)] for p in _AFTER]
 
 
-def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, bool]]:
+class Measure:
+    """How much of a text lies before each offset, as prefix sums: characters, or tokens of a tokenizer by where they begin."""
+
+    def __init__(self, text: str, before: np.ndarray | None = None) -> None:
+        self.n, self.before = len(text), before
+
+    @property
+    def whole(self) -> int:
+        return self.n if self.before is None else int(self.before[-1])
+
+    def ahead(self, start: int, amount: int) -> int:
+        """The last offset with at most `amount` between it and `start`, one character on at least."""
+        if self.before is None:
+            return min(self.n, start + amount)
+        return max(start + 1, int(np.searchsorted(self.before, self.before[start] + amount, "right")) - 1)
+
+    def back(self, end: int, amount: int) -> int:
+        """The first offset with at most `amount` between it and `end`."""
+        return max(0, end - amount) if self.before is None else min(end, int(np.searchsorted(self.before, self.before[end] - amount, "left")))
+
+
+def token_offsets(tokens: list[bytes], text: str) -> np.ndarray:
+    """Prefix sums over a text's offsets: tokens that begin before each. A token that begins inside a character counts from the next character on."""
+    width = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    ends = np.cumsum(np.where(width < 0x80, 1, np.where(width < 0x800, 2, np.where(width < 0x10000, 3, 4))))
+    begins = np.cumsum([0, *map(len, tokens)])[:-1]
+    at = np.searchsorted(np.concatenate([[0], ends]), begins, "left")  # the character in which each begins, or the next
+    return np.searchsorted(at, np.arange(len(text) + 1), "left") if len(text) else np.zeros(1, np.int64)
+
+
+def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP, before: np.ndarray | None = None) -> list[tuple[int, int, bool]]:
     """(start, end, hard) of each piece of a text, in code points.
 
-    A text within the limit is one piece, the empty text none. Else each piece ends at the last boundary of the best kind
-    found in its upper half, or at the last boundary at all within the limit; white space after which a boundary stands may
-    itself fall in two (a run of blanks longer than the limit is cut anywhere). The next piece starts at the first word
-    boundary within `overlap` of that end, or exactly there if nothing natural would then be reachable. Only a run without
-    white space longer than the limit is cut hard; every piece is at most `limit` long and together they cover the text.
+    `limit` and `overlap` are in characters, or, with the prefix sums `before` of `token_offsets`, in tokens as they lie in the whole text. A text within the limit is one
+    piece, the empty text none. Else each piece ends at the last boundary of the best kind found in its upper half, or at the last boundary at all within
+    the limit, found by binary search; white space after which a boundary stands may itself fall in two (a run of blanks longer than the limit is cut anywhere). The next piece
+    starts at the first word boundary within `overlap` of that end, or exactly there if nothing natural would then be reachable. Only a run without
+    white space longer than the limit is cut hard; every piece is at most `limit` long (one character may have more tokens than that) and together they cover the text.
     """
     if limit < 2 or not 0 <= overlap < limit:
         raise ValueError("limit must be at least 2 and overlap below it")
-    n = len(text)
-    if n <= limit:
+    n, size = len(text), Measure(text, before)
+    if size.whole <= limit:
         return [(0, n, False)] if n else []
     # Blanks themselves are places to cut: a run of white space may end a piece anywhere inside it.
     places = boundaries(text)
@@ -42,11 +76,12 @@ def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[
     out: list[tuple[int, int, bool]] = []
     start = reach = 0
     while True:
-        if n - start <= limit:
+        high = size.ahead(start, limit)
+        if high >= n:
             out.append((start, n, False))
             return out
         end, hard = 0, False
-        low, high = max(reach, start + limit // 2), start + limit
+        low = max(reach, size.ahead(start, limit // 2))
         for kind in places:
             k = bisect_right(kind, high) - 1
             if k >= 0 and kind[k] > low:
@@ -62,36 +97,59 @@ def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[
             else:
                 end, hard = high, True
         out.append((start, end, hard))
-        k = bisect_left(places[-1], end - overlap)
-        back = places[-1][k] if k < len(places[-1]) and places[-1][k] < end else end - overlap if hard else end
+        first = size.back(end, overlap)
+        k = bisect_left(places[-1], first)
+        back = places[-1][k] if k < len(places[-1]) and places[-1][k] < end else first if hard else end
         start, reach = max(back, out[-1][0] + 1), end
 
 
-def _cut(limit: int, overlap: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("hard", pa.bool_())]))
-        for b in batches:
-            cuts = [[{"start": a, "end": z, "hard": h} for a, z, h in pieces(t, limit, overlap)] for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cuts, kind)], ["id", "text", "cuts"])
-
-    return run
+_PIECE = "piece_no int, n_pieces int, start int, end int, hard boolean"
 
 
-def split_texts(df: DataFrame, id_col: str = "id", text_col: str = "content", limit: int = LIMIT, overlap: int = OVERLAP, with_text: bool = True) -> DataFrame:
+def split_texts(
+    df: DataFrame, id_col: str = "id", text_col: str = "content", limit: int = LIMIT, overlap: int = OVERLAP, with_text: bool = True, vocabulary: str | None = None
+) -> DataFrame:
     """(id, piece_no, n_pieces, start, end, hard, text) of every text over the limit; sizes are counted from the text, never read from a column.
 
-    Texts within the limit, empty and null texts need no cut and give no row. Repeated rows count once. Other columns are
+    With a `vocabulary` file, limit and overlap are in its tokens, else in characters. Texts within the limit, empty and null texts need no cut and give no row.
+    Repeated rows count once: which ids have the same text twice is told by digests, and only those rows are shuffled. Other columns are
     ignored. `hard` marks a piece that ends inside a run without white space longer than the limit.
     """
     kind = dict(df.dtypes)[id_col]
-    big = df.where(F.length(text_col) > limit).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    big = big.dropDuplicates(["id"]) if with_text is False else big.distinct()
-    cut = big.mapInArrow(_cut(limit, overlap), f"id {kind}, text string, cuts array<struct<start:int,end:int,hard:boolean>>")
-    out = cut.select("id", F.col("text").alias("_t"), F.size("cuts").alias("n_pieces"), F.posexplode("cuts").alias("piece_no", "c"))
-    cols = ["id", "piece_no", "n_pieces", F.col("c.start").alias("start"), F.col("c.end").alias("end"), F.col("c.hard").alias("hard")]
-    if with_text:
-        cols.append(F.expr("substring(_t, c.start + 1, c.end - c.start)").alias("text"))
-    return out.select(*cols)
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # a token is one byte or more, so a text of at most `limit` bytes is within it
+    big = rows.where(F.length("text") > limit) if vocabulary is None else rows.where(F.octet_length("text") > limit)
+    seen = big.groupBy("id", F.md5("text")).agg(F.count("*").alias("n")).where("n > 1").select("id").distinct()
+    again = broadcast_if_small(materialise(seen), 32)
+    once = big.join(again, big["id"].eqNullSafe(again["id"]), "left_anti").unionByName(big.join(again, big["id"].eqNullSafe(again["id"]), "left_semi").distinct())
+    shared = None if vocabulary is None else share_vocabulary(df.sparkSession, vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = automaton(shared) if shared else None
+        for b in batches:
+            ids, texts = b.column(0), b.column(1).to_pylist()
+            from_, no, of, start, end, hard, said = [], [], [], [], [], [], []
+            size = 0
+            for i, t in enumerate(texts):
+                before = token_offsets([model.words[x] for x in model.encode(t)], t) if model else None
+                if before is not None and before[-1] <= limit:
+                    continue
+                cuts = pieces(t, limit, overlap, before)
+                for k, (a, z, h) in enumerate(cuts):
+                    from_.append(i), no.append(k), of.append(len(cuts)), start.append(a), end.append(z), hard.append(h), said.append(t[a:z] if with_text else None)
+                    size += z - a
+                if size > 4_000_000:  # pieces of long texts go out in several batches
+                    yield _pieces_batch(ids, from_, no, of, start, end, hard, said, with_text)
+                    from_, no, of, start, end, hard, said, size = [], [], [], [], [], [], [], 0
+            yield _pieces_batch(ids, from_, no, of, start, end, hard, said, with_text)
+
+    return once.select("id", "text").mapInArrow(run, f"id {kind}, {_PIECE}" + (", text string" if with_text else ""))
+
+
+def _pieces_batch(ids: pa.Array, from_: list, no: list, of: list, start: list, end: list, hard: list, said: list, with_text: bool) -> pa.RecordBatch:
+    cols = [ids.take(pa.array(from_, pa.int64())), *(pa.array(c, pa.int32()) for c in (no, of, start, end)), pa.array(hard, pa.bool_())]
+    names = ["id", *(f.split()[0] for f in _PIECE.split(", "))]
+    return pa.RecordBatch.from_arrays([*cols, pa.array(said, pa.string())] if with_text else cols, [*names, "text"] if with_text else names)
 
 
 def split_kinds(df: DataFrame, id_col: str = "id", text_col: str = "content", limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
