@@ -8,4 +8,9 @@ SELECT DISTINCT source_table, id, CASE WHEN regexp_matches(content, '[^\\s\\x0b\
 FROM (SELECT 'pdf_documents' AS source_table, id, content FROM pdf_documents UNION ALL SELECT 'chunks', id, content FROM chunks)
 WHERE length(content) > 2304
 """,
+    "p5_rebuilt": """
+SELECT DISTINCT source_table, id, md5(content) AS text_md5 FROM (SELECT 'pdf_documents' AS source_table, id, content FROM pdf_documents UNION ALL SELECT 'chunks', id, content FROM chunks)
+WHERE length(content) > 2304
+""",
+    "p6_decoded": "SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL",
 }

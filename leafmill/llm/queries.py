@@ -75,6 +75,12 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return both_tables(lambda df, _: split.split_texts(df), spark, d)
 
 
+@query
+def p5_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """Oversized texts put together again from their pieces."""
+    return split.rebuilt(p5_pieces(spark, d)).select("source_table", "id", F.md5("text").alias("text_md5"))
+
+
 @query
 def p5_token_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Pieces of at most 512 tokens, each repeating up to 64 of the one before."""
@@ -87,11 +93,25 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_corpus(read_table(spark, d, "documents"))
 
 
+@query
+def p6_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """Texts decoded from their own token ids."""
+    docs = read_table(spark, d, "documents").where("text IS NOT NULL")
+    return encode.decode_corpus(encode.encode_corpus(docs)).select("doc_id", F.md5("text").alias("text_md5"))
+
+
 @query
 def p7_containers(spark: SparkSession, d: str) -> DataFrame:
     return pack.pack_texts(read_table(spark, d, "documents"))
 
 
+@query
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    """One row: containers used, and how many any packing of these tokens needs at least."""
+    used = p7_containers(spark, d).agg(F.count_distinct("container_id").alias("containers"), F.coalesce(F.sum("size"), F.lit(0)).alias("tokens"))
+    return used.select("containers", F.ceil(F.col("tokens") / pack.CAPACITY).alias("at_least"))
+
+
 @query
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents that had to be split: those with a second piece in the packing."""

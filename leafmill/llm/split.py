@@ -152,6 +152,14 @@ def _pieces_batch(ids: pa.Array, from_: list, no: list, of: list, start: list, e
     return pa.RecordBatch.from_arrays([*cols, pa.array(said, pa.string())] if with_text else cols, [*names, "text"] if with_text else names)
 
 
+def rebuilt(parts: DataFrame) -> DataFrame:
+    """(id, text): texts put together again from their pieces, each without what it repeats of the one before; other columns than those of `split_texts` keep pieces apart, as a table's name does."""
+    keys = [c for c in parts.columns if c not in {"text", *(f.split()[0] for f in _PIECE.split(", "))}]
+    listed = F.array_sort(F.collect_list(F.struct("piece_no", "start", "end", "text")))  # together hardly longer than the text
+    said = lambda p, i: F.substring(p["text"], F.when(i > 0, F.get("l", i - 1)["end"] - p["start"]).otherwise(0) + 1, F.lit(1 << 30))
+    return parts.groupBy(*keys).agg(listed.alias("l")).select(*keys, F.array_join(F.transform("l", said), "").alias("text"))
+
+
 def split_kinds(df: DataFrame, id_col: str = "id", text_col: str = "content", limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """(id, kind) of every text over the limit: 'forced' if a piece had to be cut hard, else 'natural'.
 
