@@ -45,7 +45,7 @@ def postings(chunks: DataFrame, id_col: str = "id", text_col: str = "content", k
 
 @dataclass(frozen=True)
 class Bm25Index:
-    """`postings` (term, chunk_id, doc_id, tf, dl), lie sorted by term; `terms` (term, idf) has the idf as scored; `size` (n, avgdl) is one row."""
+    """`postings` (term, chunk_id, doc_id, tf, dl), sorted by term where the index is kept at a path; `terms` (term, idf) has the idf as scored; `size` (n, avgdl) is one row."""
 
     postings: DataFrame
     terms: DataFrame
@@ -55,13 +55,13 @@ class Bm25Index:
 def index_chunks(chunks: DataFrame, id_col: str = "id", text_col: str = "content", doc_col: str = "doc_id", path: str | None = None) -> Bm25Index:
     """The index of a corpus, each text read and tokenised once; written to `path`, else to the shared folder. A negative idf becomes EPSILON times the mean idf. Null texts are empty ones."""
     spark = chunks.sparkSession
-    if path is None:
-        path = scratch(spark)
+    kept, path = path is not None, path or scratch(spark)
     if doc_col not in chunks.columns:
         chunks = chunks.withColumn(doc_col, F.lit(None).cast("long"))
     found, _ = postings(chunks, id_col, text_col, (doc_col,))
-    # the lengths of empty texts are in no posting: they are counted beside
-    found = found.withColumnRenamed(doc_col, "doc_id").repartitionByRange(shuffle_partitions(spark), "term", "chunk_id").sortWithinPartitions("term", "chunk_id")
+    found = found.withColumnRenamed(doc_col, "doc_id")
+    if kept:  # an index to be read many times is sorted by term, so that queries skip most of it
+        found = found.repartitionByRange(shuffle_partitions(spark), "term", "chunk_id").sortWithinPartitions("term", "chunk_id")
     found.write.mode("overwrite").parquet(f"{path}/postings")
     found = spark.read.schema(found.schema).parquet(f"{path}/postings")
     n = chunks.where(F.col(id_col).isNotNull()).agg(F.count_distinct(id_col).alias("n"))
