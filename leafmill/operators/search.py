@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -13,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from leafmill.functions.text import md5_mod, strip, words
-from leafmill.session import broadcast_if_small, scratch, shuffle_partitions
+from leafmill.session import broadcast_if_small, materialise, scratch, shuffle_partitions
 
 K1, B, EPSILON = 1.5, 0.75, 0.25
 RRF_K = 60
 QUERY_BYTES = 64 << 20  # of vector queries that a task holds at a time; more are searched for in several blocks
+POSTINGS = 500_000  # of asked terms that a task holds at a time
 DIGITS = 6  # scores are rounded before they are ranked or compared
 
 
@@ -88,18 +90,89 @@ def _weighted(raw: DataFrame) -> DataFrame:
 def bm25(queries: DataFrame, chunks: DataFrame | Bm25Index, top_k: int = 10, id_col: str = "id", text_col: str = "content", allowed: DataFrame | None = None, doc_col: str = "doc_id") -> DataFrame:
     """(query_id, chunk_id, score, rank): Okapi scores over the whole corpus, or an index of it; positive ones only, ties to the smaller id.
 
-    A repeated query word counts again. `allowed` (a frame with `doc_col`) restricts results after scoring; the corpus statistics stay global. None means no restriction.
+    A repeated query word counts again. `allowed` (a frame with `doc_col`) restricts results, not the corpus statistics, which stay global. None means no restriction.
+    The stated query set lies in blocks of at most QUERY_BYTES, as in `knn`; each part of the corpus sends on its own top_k of a query only.
     """
     index = chunks if isinstance(chunks, Bm25Index) else index_chunks(chunks, id_col, text_col, doc_col)
     q = queries.select("query_id", F.explode(words(F.lower("query"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qf"))
-    q = broadcast_if_small(q, 96)  # what is counted is the queries' words, never the corpus'
-    hit = index.postings.join(q, "term").join(index.terms, "term").crossJoin(F.broadcast(index.size.select("avgdl")))
-    tf = F.col("tf")
-    part = F.col("qf") * F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    scored = hit.groupBy("query_id", "chunk_id", "doc_id").agg(F.round(F.sum(part), DIGITS).alias("score")).where("score > 0")
+    found = index.postings
     if allowed is not None:
-        scored = scored.join(allowed.select(F.col(doc_col).alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return top(scored.select("query_id", "chunk_id", "score"), top_k)
+        found = found.join(allowed.select(F.col(doc_col).alias("doc_id")).distinct(), "doc_id", "left_semi")
+    size = q.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0)).alias("bytes")).first()["bytes"]
+    blocks = max(1, -(-2 * size // QUERY_BYTES))
+    parts = [_bm25_block(q if blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i), index, found, top_k) for i in range(blocks)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return top(out, top_k)
+
+
+def _bm25_block(q: DataFrame, index: Bm25Index, found: DataFrame, top_k: int) -> DataFrame:
+    """The top_k of each query of the block within each part of the corpus. Only the postings of asked terms are moved, once, to where their chunk is; no row is made for a query and a chunk that it hits."""
+    spark = q.sparkSession
+    rows = q.groupBy("query_id").agg(F.collect_list(F.struct("term", "qf")).alias("ts")).toArrow()  # one block, of at most about QUERY_BYTES
+    pairs = rows["ts"].combine_chunks()
+    flat, ends = pairs.flatten(), np.cumsum(pa.compute.list_value_length(pairs).to_numpy(zero_copy_only=False))
+    coded = flat.field("term").dictionary_encode()
+    asked = spark.createDataFrame(pa.table({"term": coded.dictionary, "t": pa.array(np.arange(len(coded.dictionary), dtype=np.int32))}), "term string, t int")
+    asked = asked.join(index.terms, "term")
+    tf = F.col("tf")
+    part = F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    hit = found.join(broadcast_if_small(asked, 96), "term").crossJoin(F.broadcast(index.size.select("avgdl"))).select("chunk_id", "t", part.alias("w"))
+    hit = hit.repartition(shuffle_partitions(spark), "chunk_id").sortWithinPartitions("chunk_id")
+    shared = spark.sparkContext.broadcast((rows["query_id"].combine_chunks(), ends, coded.indices.to_numpy(), flat.field("qf").to_numpy(), len(coded.dictionary)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query_ids, ends, terms, qf, n_terms = shared.value
+        for ids, at, t, w in _whole_chunks(batches):
+            order = np.argsort(t, kind="stable")
+            at, w, starts = at[order], w[order], np.searchsorted(t[order], np.arange(n_terms + 1))
+            score, best = np.zeros(len(ids)), []
+            for i, end in enumerate(ends):
+                mine = [(starts[x], starts[x + 1], qf[k]) for k in range(ends[i - 1] if i else 0, end) for x in [terms[k]] if starts[x] < starts[x + 1]]
+                if not mine:
+                    continue
+                for a, b, n in mine:
+                    score[at[a:b]] += n * w[a:b]
+                touched = at[mine[0][0] : mine[0][1]] if len(mine) == 1 else np.unique(np.concatenate([at[a:b] for a, b, _ in mine])) if 16 * sum(b - a for a, b, _ in mine) < len(ids) else np.flatnonzero(score)
+                got = score[touched].round(DIGITS)
+                score[touched] = 0
+                if len(got) > top_k:
+                    keep = got >= np.partition(got, len(got) - top_k)[len(got) - top_k]
+                    touched, got = touched[keep], got[keep]
+                first = np.argsort(-got, kind="stable")[:top_k]
+                first = first[got[first] > 0]
+                best.append((np.full(len(first), i), touched[first], got[first]))
+            if best:
+                i, c, x = map(np.concatenate, zip(*best, strict=True))
+                yield from pa.table({"query_id": query_ids.take(pa.array(i)), "chunk_id": ids.take(pa.array(c)), "score": x}).to_batches(65_536)
+
+    kinds = dict(q.dtypes) | dict(hit.dtypes)
+    return hit.mapInArrow(run, f"query_id {kinds['query_id']}, chunk_id {kinds['chunk_id']}, score double")
+
+
+def _whole_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, each posting's place among them, its term's number, its weight) of postings sorted by chunk, some POSTINGS rows at a time, no chunk being cut."""
+    rest: list[pa.RecordBatch] = []
+    n = 0
+    for b in batches:
+        rest.append(b)
+        n += len(b)
+        if n >= POSTINGS:
+            ready = pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
+            ids = ready.column(0).to_numpy(zero_copy_only=False)
+            cut = int(np.flatnonzero(ids != ids[-1])[-1]) + 1 if ids[0] != ids[-1] else 0
+            if cut:
+                yield _placed(ready.slice(0, cut))
+            rest, n = [ready.slice(cut)], n - cut
+    if n:
+        yield _placed(pa.Table.from_batches(rest).combine_chunks().to_batches()[0])
+
+
+def _placed(b: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    ids = b.column(0).to_numpy(zero_copy_only=False)
+    new = np.concatenate([[True], ids[1:] != ids[:-1]])
+    return b.column(0).take(pa.array(np.flatnonzero(new))), np.cumsum(new) - 1, b.column(1).to_numpy(), b.column(2).to_numpy()
 
 
 def top(scored: DataFrame, k: int, by: str = "score", tie: str = "chunk_id") -> DataFrame:
@@ -232,33 +305,117 @@ def _scorer(model: Callable[[list[str], list[str]], np.ndarray]):
     return run
 
 
-GRAM = 3
+GRAM = 3  # bytes
+SLICE_BYTES = 1 << 20  # of texts that are looked through at a time
 
 
 def text_fallback(queries: DataFrame, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(query_id, doc_id, result_id, start, snippet): every text that holds the query, case aside; not limited.
 
-    A text meets only queries whose rarest three letters it has: an equi-join on them, then the exact check. Queries shorter than that are compared with every text, one by one, on
-    the map side. Null texts and queries match nothing; the empty query matches every text.
+    A text meets only queries whose rarest three bytes it has, then comes the exact check; texts are looked through where they are and not moved. Queries shorter than that are compared
+    with every text, one by one. The queries, read once, lie in blocks of at most QUERY_BYTES. Null texts and queries match nothing; the empty query matches every text.
     """
     d = documents.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"), F.lower(text_col).alias("lt"))
-    q = queries.where("query IS NOT NULL").select("query_id", "query", F.lower("query").alias("lq")).withColumn("n", F.length("lq"))
-    grams = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1)))
-    long = q.where(F.col("n") >= GRAM)
-    asked = long.select("query_id", F.explode(grams(F.col("lq"))).alias("gram"))
-    wanted = broadcast_if_small(asked.select("gram").distinct(), 32)
-    own = d.where(F.length("lt") >= GRAM).select("doc_id", F.explode(grams(F.col("lt"))).alias("gram")).join(wanted, "gram", "left_semi")
-    common = own.groupBy("gram").agg(F.count("*").alias("k"))
-    rarest = asked.join(common, "gram", "left").groupBy("query_id").agg(F.min(F.struct(F.coalesce("k", F.lit(0)).alias("k"), "gram")).alias("r")).where("r.k > 0")
-    keyed = long.join(rarest.select("query_id", "r.gram"), "query_id")
-    keys = broadcast_if_small(keyed.groupBy("gram").agg(F.collect_list(F.struct("query_id", "query", "lq")).alias("qs")), 512)
-    met = d.where(F.length("lt") >= GRAM).select("doc_id", "t", "lt", F.explode(grams(F.col("lt"))).alias("gram")).join(keys, "gram")
-    j = met.select("doc_id", "t", "lt", F.explode(F.filter("qs", lambda x: F.instr(F.col("lt"), x["lq"]) > 0)).alias("x")).select("doc_id", "t", "lt", "x.*")
-    few = q.where(F.col("n") < GRAM).select(F.struct("query_id", "query", "lq").alias("x")).agg(F.collect_list("x").alias("qs"))  # one row, of queries of at most two letters
-    short = d.crossJoin(F.broadcast(few)).select("doc_id", "t", "lt", F.explode(F.filter("qs", lambda x: F.instr(F.col("lt"), x["lq"]) > 0)).alias("x")).select("doc_id", "t", "lt", "x.*")
-    j = j.unionByName(short)
-    start = F.greatest(F.lit(0), F.expr("instr(lt, lq)") - 101)
-    j = j.withColumn("start", start)
-    snippet = F.concat(F.lit("..."), F.translate(F.expr("substring(t, start + 1, length(query) + 200)"), "\n", " "), F.lit("..."))
+    q = materialise(queries.where("query IS NOT NULL").select("query_id", "query", F.lower("query").alias("lq")))
+    size = q.agg(F.coalesce(F.sum(F.octet_length("query") * 8 + 64), F.lit(0)).alias("bytes")).first()["bytes"]  # with their letter groups
+    blocks = max(1, -(-2 * size // QUERY_BYTES))
+    parts = [_fallback_block(q if blocks == 1 else q.where(F.pmod(F.xxhash64("query_id", "query"), F.lit(blocks)) == i), d) for i in range(blocks)]
+    j = parts[0]
+    for p in parts[1:]:
+        j = j.unionByName(p)
     key = F.concat_ws(":", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")), F.col("start").cast("string"))
-    return j.select("query_id", "doc_id", md5_mod(key).cast("int").alias("result_id"), "start", snippet.alias("snippet"))
+    return j.select("query_id", "doc_id", md5_mod(key).cast("int").alias("result_id"), "start", "snippet")
+
+
+def _codes(b: np.ndarray) -> np.ndarray:
+    """A number for each GRAM bytes in a row."""
+    x = b.astype(np.int32)
+    return (x[:-2] << 16) | (x[1:-1] << 8) | x[2:]
+
+
+def _sliced(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, where each row ends in them) of some rows at a time, as many as SLICE_BYTES hold, at least one."""
+    n = pa.compute.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    wide = pa.types.is_large_string(column.type)
+    at = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset]
+    data, ends, i = np.frombuffer(column.buffers()[2] or b"", np.uint8), np.cumsum(n), 0
+    while i < len(n):
+        began = int(ends[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, began + SLICE_BYTES, "right")))
+        yield i, data[at + began : at + int(ends[j - 1])], ends[i:j] - began
+        i = j
+
+
+def _table(grams: np.ndarray) -> np.ndarray:
+    """The place in `grams` of every number that _codes can give, len(grams) where it isn't there."""
+    out = np.full(1 << 8 * GRAM, len(grams), np.int32)
+    out[grams] = np.arange(len(grams), dtype=np.int32)
+    return out
+
+
+def _fallback_block(q: DataFrame, d: DataFrame) -> DataFrame:
+    spark = d.sparkSession
+    rows = q.toArrow()  # one block, of at most about QUERY_BYTES
+    asked = [x.encode() for x in rows["lq"].to_pylist()]
+    own = [np.unique(_codes(np.frombuffer(x, np.uint8))) if len(x) >= GRAM else np.empty(0, np.int32) for x in asked]
+    wanted = np.unique(np.concatenate([*own, np.empty(0, np.int32)]))
+    shared_wanted = spark.sparkContext.broadcast(wanted)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _table(shared_wanted.value)
+        n = np.zeros(len(shared_wanted.value) + 1, np.int64)
+        for b in batches:
+            for _, data, _ in _sliced(b.column(0)):
+                n += np.bincount(table[_codes(data)], minlength=len(n))
+        there = np.flatnonzero(n[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(n[there])], ["g", "n"])
+
+    found = np.zeros(len(wanted), np.int64)
+    if len(wanted):  # a row for each group of letters that is asked for
+        got = d.select("lt").mapInArrow(count, "g int, n long").groupBy("g").agg(F.sum("n").alias("n")).toArrow()
+        found[got["g"].to_numpy()] = got["n"].to_numpy()
+    # each query goes by its rarest letters; none of its texts is there if they are nowhere
+    keys: dict[int, list[int]] = {}
+    for i, x in enumerate(own):
+        if len(x):
+            k = np.searchsorted(wanted, x)
+            k = int(k[found[k].argmin()])
+            if found[k]:
+                keys.setdefault(int(wanted[k]), []).append(i)
+    grams = np.array(sorted(keys), np.int32)
+    short = [i for i, x in enumerate(asked) if len(x) < GRAM]
+    shared = spark.sparkContext.broadcast((rows["query_id"].combine_chunks(), rows["lq"].to_pylist(), [len(x) for x in rows["query"].to_pylist()], grams, [keys[int(g)] for g in grams], short))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query_ids, lqs, lengths, grams, by_gram, short = shared.value
+        table = _table(grams)
+        for b in batches:
+            texts, lower = b.column(1), b.column(2)
+            for first, data, ends in _sliced(lower):
+                met: list[tuple[int, int]] = []
+                if len(grams):
+                    g = table[_codes(data)]
+                    at = np.flatnonzero(g < len(grams))
+                    pairs = np.unique(np.searchsorted(ends, at, "right") * np.int64(len(grams)) + g[at])
+                    met = [(int(x) // len(grams), i) for x in pairs for i in by_gram[int(x) % len(grams)]]
+                out: list[tuple[int, int, int, str]] = []
+                row, lt, t = -1, "", ""
+                for r, i in heapq.merge(met, ((r, i) for r in range(len(ends)) for i in short), key=lambda x: x[0]):
+                    if r != row:
+                        row, lt, t = r, lower[first + r].as_py(), texts[first + r].as_py()
+                    p = lt.find(lqs[i])
+                    if p >= 0:
+                        start = max(0, p - 100)
+                        out.append((i, first + r, start, "..." + t[start : start + lengths[i] + 200].replace("\n", " ") + "..."))
+                        if len(out) >= 10_000:
+                            yield batch(query_ids, b, out)
+                            out = []
+                if out:
+                    yield batch(query_ids, b, out)
+
+    def batch(query_ids: pa.Array, b: pa.RecordBatch, out: list[tuple[int, int, int, str]]) -> pa.RecordBatch:
+        i, r, start, snippet = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([query_ids.take(pa.array(i)), b.column(0).take(pa.array(r)), pa.array(start, pa.int32()), pa.array(snippet, pa.string())], ["query_id", "doc_id", "start", "snippet"])
+
+    kinds = dict(q.dtypes) | dict(d.dtypes)
+    return d.mapInArrow(run, f"query_id {kinds['query_id']}, doc_id {kinds['doc_id']}, start int, snippet string")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from leafmill.operators import embed, graph
 from leafmill.operators import search as se
+from leafmill.session import materialise
 from leafmill.sources import store
 
 
@@ -45,8 +46,8 @@ def _routed(q: DataFrame, alpha: float | None) -> DataFrame:
 
 def search_with_fallback(hits: DataFrame, queries: DataFrame, texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(query_id, chunk_id, doc_id, score, source, snippet): hits as they are; for the queries without any, every text that holds the query, with score 1.0, document 0 and source fallback_txt."""
-    own = hits.select("query_id", F.col("chunk_id").cast("long"), F.col("doc_id").cast("long"), F.col("score").cast("double"), "source", F.lit(None).cast("string").alias("snippet"))
-    without = queries.join(hits.select("query_id").distinct(), "query_id", "left_anti")
+    own = materialise(hits.select("query_id", F.col("chunk_id").cast("long"), F.col("doc_id").cast("long"), F.col("score").cast("double"), "source", F.lit(None).cast("string").alias("snippet")))
+    without = queries.join(own.select("query_id").distinct(), "query_id", "left_anti")
     more = se.text_fallback(without, texts, id_col, text_col)
     return own.unionByName(more.select("query_id", F.col("result_id").cast("long").alias("chunk_id"), F.lit(0).cast("long").alias("doc_id"), F.lit(1.0).alias("score"), F.lit("fallback_txt").alias("source"), "snippet"))
 

@@ -145,6 +145,78 @@ def test_fallback_and_log(spark):
     assert log[1] == (1, "lexical (alpha=0.20)") and log[3] == (0, "lexical (alpha=0.20)") and log[5] == (2, "lexical (alpha=0.20) + fallback_txt_search")
 
 
+def test_hits_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    hits = spark.createDataFrame([(1, 7, 1, 2.0, "bm25"), (2, 8, 1, 1.0, "bm25")], "query_id long, chunk_id long, doc_id long, score double, source string")
+    docs = spark.createDataFrame([(1, "The Quick brown fox"), (2, "quick")], "doc_id long, text string")
+    q = spark.createDataFrame([(1, "brown"), (2, "fox"), (3, "QUICK")], "query_id long, query string")
+    got = api.search_with_fallback(hits.mapInArrow(run, hits.schema), q, docs).collect()
+    assert sorted((r["query_id"], r["source"]) for r in got) == [(1, "bm25"), (2, "bm25"), (3, "fallback_txt"), (3, "fallback_txt")]
+    assert made.value == 2
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_fallback_equals_search_one_by_one(spark, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(se, "QUERY_BYTES", 300)
+    texts = ["", "a", "Ärger über\nGrößen", "xx größe yy " * 40 + "Ende\nZeile", "日本語の本文", "aaa", "ab" * 150 + "größe", "größe", "en\nde"]
+    asked = ["größe", "ÄRGER", "", "a", "ä", "本", "日本語", "aab", "e\nz", "nowhere", "aaa", "aaaa", "n\nd", "ab"]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(99, None)], "doc_id long, text string")
+    q = spark.createDataFrame(list(enumerate(asked)) + [(99, None)], "query_id long, query string")
+    want = set()
+    for i, x in enumerate(asked):
+        for k, t in enumerate(texts):
+            at = t.lower().find(x.lower())
+            if at >= 0:
+                start = max(0, at - 100)
+                want.add((i, k, start, "..." + t[start : start + len(x) + 200].replace("\n", " ") + "..."))
+    got = se.text_fallback(q, docs).select("query_id", "doc_id", "start", "snippet").collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert se.text_fallback(q.limit(0), docs).collect() == [] and se.text_fallback(q, docs.limit(0)).collect() == []
+
+
+def test_bm25_parts_send_their_best_only(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    vocabulary = ["pump", "valve", "seal", "rod", "oil", *(f"w{i}" for i in range(20))]
+    rows = [(i, i % 7, " ".join(rng.choice(vocabulary, int(rng.integers(1, 9))))) for i in range(400)]
+    c = spark.createDataFrame([*rows, rows[0], (400, 1, None)], "id long, doc_id long, content string")
+    q = spark.createDataFrame([(1, "Pump"), (2, "valve pump pump"), (3, "nothing"), (4, "oil seal rod"), (5, None)], "query_id long, query string")
+    index = se.index_chunks(c)
+    whole = [tuple(r) for r in se.bm25(q, index, 1000).collect()]
+    best = sorted(x for x in whole if x[3] <= 5)
+    assert sorted(tuple(r) for r in se.bm25(q, index, 5).collect()) == best and len(best) == 15
+    monkeypatch.setattr(se, "QUERY_BYTES", 300)
+    assert sorted(tuple(r) for r in se.bm25(q, index, 5).collect()) == best
+    idf = {r["term"]: r["idf"] for r in index.terms.collect()}
+    n, avgdl = index.size.first()
+    texts = {i: t.split() for i, _, t in rows}
+    for qid, words in ((1, ["pump"]), (2, ["valve", "pump", "pump"]), (4, ["oil", "seal", "rod"])):
+        score = {i: sum(idf[w] * t.count(w) * 2.5 / (t.count(w) + 1.5 * (0.25 + 0.75 * len(t) / avgdl)) for w in words) for i, t in texts.items()}
+        found = {x[1]: x[2] for x in whole if x[0] == qid}
+        assert found == pytest.approx({i: x for i, x in score.items() if round(x, 6) > 0}, abs=1e-6)
+    assert n == 401
+
+
+def test_texts_and_postings_are_cut_between_rows(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(se, "SLICE_BYTES", 7)
+    texts = ["left out", "", "größe", "a", "much longer than seven", "", "b", "c"]
+    got = [bytes(data[start:end]).decode() for _, data, ends in se._sliced(pa.array(texts).slice(1)) for start, end in zip([0, *ends[:-1]], ends, strict=True)]
+    assert got == texts[1:] and [i for i, *_ in se._sliced(pa.array(texts).slice(1))] == [0, 2, 3, 4]
+    monkeypatch.setattr(se, "POSTINGS", 3)
+    ids = [1, 1, 2, 3, 3, 3, 3, 3, 4, 5]
+    batches = [pa.RecordBatch.from_arrays([pa.array(ids[i : i + 2]), pa.array([7, 8][: len(ids[i : i + 2])], pa.int32()), pa.array([0.5, 1.5])], ["chunk_id", "t", "w"]) for i in range(0, len(ids), 2)]
+    parts = [(list(u.to_pylist()), at.tolist()) for u, at, _, _ in se._whole_chunks(iter(batches))]
+    assert [u[k] for u, at in parts for k in at] == ids and sorted(x for u, _ in parts for x in u) == [1, 2, 3, 4, 5] and len(parts) > 1
+
+
 def test_knn_in_blocks(spark, monkeypatch):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((60, 4))
