@@ -161,6 +161,25 @@ def test_hits_are_made_once(spark):
     assert made.value == 2
 
 
+def test_log_rows_from_hits_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    c = spark.createDataFrame([(i, 0, f"pump seal number{i}") for i in range(30)] + [(40 + i, 0, f"other words{i}") for i in range(70)], "id long, doc_id long, content string")
+    q = spark.createDataFrame([(1, "how to seal a pump"), (2, "number7"), (3, "lost part"), (4, "nowhere at all")], "query_id long, query string")
+    hits = se.bm25(q, c).select("query_id", "chunk_id", F.lit(0).alias("doc_id"), "score", F.lit("bm25").alias("source"))
+    docs = spark.createDataFrame([(1, "a LOST part"), (2, "lost parts"), (3, None)], "doc_id long, text string")
+    rows = api.log_rows(q, api.search_with_fallback(hits.mapInArrow(run, hits.schema), q, docs)).drop("latency_ms").collect()
+    assert {r["query_id"]: (r["results_count"], r["strategy"]) for r in rows} == {
+        1: (10, "hybrid (alpha=0.60)"), 2: (1, "lexical (alpha=0.20)"), 3: (2, "lexical (alpha=0.20) + fallback_txt_search"), 4: (0, "hybrid (alpha=0.70)"),
+    }
+    assert len(rows) == 4 and made.value == 11
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_fallback_equals_search_one_by_one(spark, monkeypatch, small):
     if small:
