@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.session import materialise, shuffle_partitions
@@ -20,12 +20,11 @@ STATS = {
     "word_count": -1, "mean_word_length": 1, "symbol_ratio": 1, "digit_ratio": 1, "punctuated_lines": -1,
     "common_words": -1, "list_share": 1, "table_share": 1, "junk_share": 1,
 }
-#: Statistics are kept to this many decimals (counts to as many significant digits), which bounds how many values one can have.
-DECIMALS = 3
 #: The group that every text belongs to besides its language's; texts of no known language are ranked in it.
 ALL = "*"
 MIN_LANGUAGE_SHARE = 0.1
-MAX_CURVE_ROWS = 2_000_000
+#: A value that more than one in so many texts has is joined by broadcast, so that no task has all texts with it; there are at most so many such values of a statistic in all texts, and in the languages together.
+FREQUENT = 1000
 #: A score above what ranks without order give (the mean of -ln of even shares is 1), and the share of signs and digits, from which a text whose lines look like none of the kinds is junk all the same.
 OUTLIER, MOSTLY_SIGNS = 1.0, 0.7
 
@@ -136,7 +135,7 @@ def measure(text: str, common: dict[str, str]) -> tuple[str, dict[str, float]]:
     letters = sum(map(len, words))
     digits = sum(map(text.count, "0123456789"))
     stats |= {
-        "word_count": float(f"{len(words):.{DECIMALS}g}"),
+        "word_count": float(len(words)),
         "mean_word_length": letters / len(words) if words else 0.0,
         "symbol_ratio": max(0, visible - letters - digits) / visible,
         "digit_ratio": digits / visible,
@@ -146,7 +145,7 @@ def measure(text: str, common: dict[str, str]) -> tuple[str, dict[str, float]]:
         "table_share": chars["table"] / total,
         "junk_share": chars["junk"] / total,
     }
-    return lang if words and best / len(words) >= MIN_LANGUAGE_SHARE else "", {k: round(v, DECIMALS) for k, v in stats.items()}
+    return lang if words and best / len(words) >= MIN_LANGUAGE_SHARE else "", stats
 
 
 def _settle(lines: list[str], kinds: list[str], lows: list[list[str]], commons: list[int]) -> None:
@@ -176,7 +175,7 @@ def _settle(lines: list[str], kinds: list[str], lows: list[list[str]], commons:
 def kind_of(list_share: float, table_share: float, junk_share: float) -> str:
     """The exact check: what holds most of the characters that are no prose, if those are the most of all."""
     rest = 1 - list_share - table_share - junk_share
-    if list_share + table_share + junk_share <= rest:
+    if list_share + table_share + junk_share <= rest + 1e-9:  # halves are no more than half, however they are summed up
         return "prose"
     return max((("list", list_share), ("table", table_share), ("junk", junk_share)), key=lambda x: x[1])[0]
 
@@ -206,16 +205,15 @@ def text_statistics(df: DataFrame, common_words: DataFrame, key_cols: tuple[str,
     return df.where(F.col(text_col).isNotNull()).select(*keys, text_col).mapInArrow(run, schema)
 
 
-def empirical_curves(stats: DataFrame) -> dict[tuple[str, str], tuple[np.ndarray, np.ndarray, int]]:
-    """(group, statistic) -> (sorted values, how many rows have at most each, rows in all), exact over all rows.
+def empirical_ranks(stats: DataFrame) -> DataFrame:
+    """(grp, stat, value, n, at_most, total): of each value of each statistic in each group, how many rows have it, how many have at most it, and how many there are; exact over all rows and values.
 
     Rows are counted by value before anything is sorted; the counts are range-partitioned by group, statistic and value and summed up
-    within each partition, and each partition's sums are moved up by those of the partitions before it. What comes to the
-    driver has as many rows as statistics have values: ratios have at most 10 ** DECIMALS + 1, other statistics a few thousand, a group each.
+    within each partition, and each partition's sums are moved up by those of the partitions before it. What comes to the driver is a row for each partition and statistic of a group that it has.
     """
-    pairs = F.explode(F.array(*(F.struct(F.lit(s).alias("stat"), F.col(s).alias("value")) for s in STATS))).alias("p")
-    groups = F.explode(F.array_distinct(F.array(F.lit(ALL), F.when(F.col("lang") == "", ALL).otherwise(F.col("lang"))))).alias("grp")
-    counted = stats.select("lang", pairs).groupBy("lang", "p.stat", "p.value").count().select(groups, "stat", "value", "count")
+    spark = stats.sparkSession
+    groups = F.explode(F.array_distinct(F.array(F.lit(ALL), _group()))).alias("grp")
+    counted = stats.select("lang", _pairs()).groupBy("lang", "p.stat", "p.value").count().select(groups, "stat", "value", "count")
     counted = counted.groupBy("grp", "stat", "value").agg(F.sum("count").alias("n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,57 +224,65 @@ def empirical_curves(stats: DataFrame) -> dict[tuple[str, str], tuple[np.ndarray
                 so_far = so_far + n if (g, s) == last else n
                 last = (g, s)
                 cum.append(so_far)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(cum, pa.int64()), pa.array([part] * len(cum), pa.int32())], ["grp", "stat", "value", "cum", "part"])
-
-    ranged = counted.repartitionByRange(shuffle_partitions(stats.sparkSession), "grp", "stat", "value").sortWithinPartitions("grp", "stat", "value")
-    rows = ranged.mapInArrow(run, "grp string, stat string, value double, cum long, part int").limit(MAX_CURVE_ROWS + 1).toPandas()
-    if len(rows) > MAX_CURVE_ROWS:
-        raise ValueError(f"over {MAX_CURVE_ROWS} values of statistics")
-    out = {}
-    for (g, s), one in rows.groupby(["grp", "stat"]):
-        one = one.sort_values(["part", "value"])
-        sums = one.groupby("part")["cum"].max()
-        before = sums.cumsum().shift(fill_value=0)
-        cum = one["cum"].to_numpy() + one["part"].map(before).to_numpy()
-        out[g, s] = (one["value"].to_numpy(), cum.astype(np.int64), int(cum[-1]))
-    return out
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cum, pa.int64()), pa.array([part] * len(cum), pa.int32())], ["grp", "stat", "value", "n", "cum", "part"])
+
+    ranged = counted.repartitionByRange(shuffle_partitions(spark), "grp", "stat", "value").sortWithinPartitions("grp", "stat", "value")
+    ranged = materialise(ranged.mapInArrow(run, "grp string, stat int, value double, n long, cum long, part int"))
+    sums = ranged.groupBy("grp", "stat", "part").agg(F.max("cum").alias("cum")).toPandas().sort_values(["grp", "stat", "part"])
+    by = sums.groupby(["grp", "stat"])["cum"]
+    sums["before"], sums["total"] = by.cumsum() - sums["cum"], by.transform("sum")
+    offsets = spark.createDataFrame(pa.Table.from_pandas(sums[["grp", "stat", "part", "before", "total"]], preserve_index=False), "grp string, stat int, part int, before long, total long")
+    return ranged.join(F.broadcast(offsets), ["grp", "stat", "part"]).select("grp", "stat", "value", "n", (F.col("cum") + F.col("before")).alias("at_most"), "total")
+
+
+def _group() -> Column:
+    return F.when(F.col("lang") == "", ALL).otherwise(F.col("lang"))
+
+
+def _pairs() -> Column:
+    """A row a statistic: p.stat, its number in STATS, and p.value."""
+    return F.explode(F.array(*(F.struct(F.lit(i).alias("stat"), F.col(s).alias("value")) for i, s in enumerate(STATS)))).alias("p")
+
+
+def tail_shares(stats: DataFrame, row: str) -> DataFrame:
+    """(row, t0, t1, ...): of each statistic the share of the texts of the row's group that are at least as little like prose; `row` numbers the rows of `stats`, which is read several times."""
+    ranks = materialise(empirical_ranks(stats))
+    upper = F.col("stat").isin([i for i, tail in enumerate(STATS.values()) if tail > 0])
+    share = F.when(upper, F.col("total") - F.col("at_most") + F.col("n")).otherwise(F.col("at_most")) / F.col("total")
+    shares = ranks.select("grp", "stat", "value", "n", share.alias("share"))
+    rare = shares.where(F.col("n") * FREQUENT <= (n_texts := stats.count())).drop("n")
+    frequent = F.broadcast(shares.where(F.col("n") * FREQUENT > n_texts).drop("n"))
+    own, on = stats.select(row, _group().alias("grp"), _pairs()).select(row, "grp", "p.stat", "p.value"), ["grp", "stat", "value"]
+    got = own.join(frequent, on).unionByName(own.join(frequent, on, "left_anti").join(rare, on))
+    return got.groupBy(row).agg(*(F.max(F.when(F.col("stat") == i, F.col("share"))).alias(f"t{i}") for i in range(len(STATS))))
 
 
 def outlier_scores(stats: DataFrame) -> DataFrame:
-    """Adds `score`, the mean over the statistics of -ln P(a text of the group is at least as little like prose), and `kind`.
+    """Adds `score`, the mean over the statistics of -ln P(a text of the group is at least as little like prose), and `kind`. The rows of `stats` are read several times.
 
     The group is the text's language, or all texts where it has none. Ties count as at least as extreme. A text whose lines say list, table or junk is that whatever its
     score, so that how common lists are in a language decides nothing. Of the others the score decides: an outlier of OUTLIER or more that is hardly letters is junk.
     """
-    curves = empirical_curves(stats)
-    shared = stats.sparkSession.sparkContext.broadcast(curves)
     names = stats.columns
+    stats = materialise(stats.withColumn("_row", F.monotonically_increasing_id()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        curves = shared.value
         for b in batches:
-            lang = np.array([x or ALL for x in b.column("lang").to_pylist()], object)
             score = np.zeros(b.num_rows)
-            for s, tail in STATS.items():
-                v = b.column(s).to_numpy(zero_copy_only=False)
-                for g in set(lang):
-                    at = np.flatnonzero(lang == g)
-                    values, cum, n = curves[g, s]
-                    k = np.searchsorted(values, v[at])
-                    share = (n - np.where(k > 0, cum[k - 1], 0)) / n if tail > 0 else cum[k] / n
-                    score[at] -= np.log(share) / len(STATS)
+            for i in range(len(STATS)):
+                score -= np.log(b.column(f"t{i}").to_numpy(zero_copy_only=False)) / len(STATS)
             shares = (b.column(c).to_pylist() for c in ("list_share", "table_share", "junk_share"))
             kind = [kind_of(*x) for x in zip(*shares, strict=True)]
             signs = b.column("symbol_ratio").to_numpy(zero_copy_only=False) + b.column("digit_ratio").to_numpy(zero_copy_only=False)
             kind = ["junk" if k == "prose" and out else k for k, out in zip(kind, (score >= OUTLIER) & (signs >= MOSTLY_SIGNS), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score.round(6)), pa.array(kind, pa.string())], [*names, "score", "kind"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(score.round(6)), pa.array(kind, pa.string())], [*names, "score", "kind"])
 
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in stats.dtypes), "score double", "kind string"])
-    return stats.mapInArrow(run, schema)
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in stats.dtypes if c != "_row"), "score double", "kind string"])
+    return stats.join(tail_shares(stats, "_row"), "_row").drop("_row").mapInArrow(run, schema)
 
 
 def classify(df: DataFrame, common_words: DataFrame, key_cols: tuple[str, ...] = ("id",), text_col: str = "content") -> DataFrame:
-    """(keys, lang, statistics, score, kind) of every non-null text, repeated rows once. The statistics are written once; texts are read once and never shuffled."""
+    """(keys, lang, statistics, score, kind) of every non-null text, repeated rows once. Texts are read once and never shuffled."""
     stats = text_statistics(df, common_words, key_cols, text_col)
     stats = stats.groupBy(*key_cols).agg(F.max("lang").alias("lang"), *(F.max(s).alias(s) for s in STATS))
-    return outlier_scores(materialise(stats))
+    return outlier_scores(stats)

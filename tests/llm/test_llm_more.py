@@ -102,6 +102,28 @@ def test_outliers_decide_where_lines_do_not(spark):
     assert got[90] == "junk" and got[0] == "prose" and got[91] == "prose"
 
 
+@pytest.mark.parametrize("frequent", [0, 3, 1_000_000])
+def test_ranks_are_of_values_as_they_are(spark, monkeypatch, frequent):
+    monkeypatch.setattr(quality, "FREQUENT", frequent)
+    common = dict.fromkeys("the of is".split(), "en")
+    texts = [("the pump of the town is in order and " * 150 + "so " * k + "x" * (k % 5)).strip() for k in range(12)] * 2 + ["9 # 9 #", "# 9 #", " "]
+    found = [quality.measure(t, common) for t in texts]
+    assert [s["word_count"] for _, s in found[:3]] == [1350, 1352, 1353] and len({s["mean_word_length"] for _, s in found[:12]}) == 12
+    assert len({round(s["mean_word_length"], 3) for _, s in found[:12]}) < 12
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, content string")
+    words = spark.createDataFrame([(v, k) for k, v in common.items()], "lang string, word string")
+    got = {r["id"]: r["score"] for r in quality.classify(df, words).collect()}
+    assert len(got) == len(texts)
+    for i, (lang, s) in enumerate(found):
+        group = [g for x, g in found if x == lang] if lang else [g for _, g in found]
+        want = np.mean([-np.log(np.mean([g[k] >= s[k] if tail > 0 else g[k] <= s[k] for g in group])) for k, tail in quality.STATS.items()])
+        assert got[i] == pytest.approx(want, abs=1e-6)
+
+
+def test_half_of_a_text_is_not_most_of_it():
+    assert quality.kind_of(1 / 3, 0.0, 1 / 6) == quality.kind_of(0.1, 0.2, 0.2) == "prose" and quality.kind_of(0.3, 0.0, 0.2004) == "list"
+
+
 @pytest.mark.parametrize("known", [0, 50_000])
 def test_frequent_words_decide_nothing(spark, monkeypatch, known):
     monkeypatch.setattr(scan, "FREQUENT_WORDS", known)
