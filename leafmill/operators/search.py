@@ -91,7 +91,7 @@ def bm25(queries: DataFrame, chunks: DataFrame | Bm25Index, top_k: int = 10, id_
     """(query_id, chunk_id, score, rank): Okapi scores over the whole corpus, or an index of it; positive ones only, ties to the smaller id.
 
     A repeated query word counts again. `allowed` (a frame with `doc_col`) restricts results, not the corpus statistics, which stay global. None means no restriction.
-    The stated query set lies in blocks of at most QUERY_BYTES, as in `knn`; each part of the corpus sends on its own top_k of a query only.
+    The stated query set lies in blocks of at most QUERY_BYTES, as in `knn`; queries of the same words, in whatever order, are scored once; each part of the corpus sends on its own top_k only.
     """
     index = chunks if isinstance(chunks, Bm25Index) else index_chunks(chunks, id_col, text_col, doc_col)
     q = queries.select("query_id", F.explode(words(F.lower("query"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qf"))
@@ -104,14 +104,15 @@ def bm25(queries: DataFrame, chunks: DataFrame | Bm25Index, top_k: int = 10, id_
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return top(out, top_k)
+    return out
 
 
 def _bm25_block(q: DataFrame, index: Bm25Index, found: DataFrame, top_k: int) -> DataFrame:
-    """The top_k of each query of the block within each part of the corpus. Only the postings of asked terms are moved, once, to where their chunk is; no row is made for a query and a chunk that it hits."""
+    """The ranked top_k of each query of the block. Only the postings of asked terms are moved, once, to where their chunk is; no row is made for a query and a chunk that it hits."""
     spark = q.sparkSession
-    rows = q.groupBy("query_id").agg(F.collect_list(F.struct("term", "qf")).alias("ts")).toArrow()  # one block, of at most about QUERY_BYTES
-    pairs = rows["ts"].combine_chunks()
+    same = q.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("term", "qf"))).alias("ts")).groupBy("ts").agg(F.collect_list(F.struct("query_id")).alias("askers"))
+    rows = same.toArrow()  # one block, of at most about QUERY_BYTES
+    pairs, askers = rows["ts"].combine_chunks(), rows["askers"].combine_chunks()
     flat, ends = pairs.flatten(), np.cumsum(pa.compute.list_value_length(pairs).to_numpy(zero_copy_only=False))
     coded = flat.field("term").dictionary_encode()
     asked = spark.createDataFrame(pa.table({"term": coded.dictionary, "t": pa.array(np.arange(len(coded.dictionary), dtype=np.int32))}), "term string, t int")
@@ -119,11 +120,11 @@ def _bm25_block(q: DataFrame, index: Bm25Index, found: DataFrame, top_k: int) ->
     tf = F.col("tf")
     part = F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     hit = found.join(broadcast_if_small(asked, 96), "term").crossJoin(F.broadcast(index.size.select("avgdl"))).select("chunk_id", "t", part.alias("w"))
-    hit = hit.repartition(shuffle_partitions(spark), "chunk_id").sortWithinPartitions("chunk_id")
-    shared = spark.sparkContext.broadcast((rows["query_id"].combine_chunks(), ends, coded.indices.to_numpy(), flat.field("qf").to_numpy(), len(coded.dictionary)))
+    hit = hit.repartition("chunk_id").sortWithinPartitions("chunk_id")  # every part goes through all queries, so small ones may be put together
+    shared = spark.sparkContext.broadcast((ends, coded.indices.to_numpy(), flat.field("qf").to_numpy(), len(coded.dictionary)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, ends, terms, qf, n_terms = shared.value
+        ends, terms, qf, n_terms = shared.value
         for ids, at, t, w in _whole_chunks(batches):
             order = np.argsort(t, kind="stable")
             at, w, starts = at[order], w[order], np.searchsorted(t[order], np.arange(n_terms + 1))
@@ -145,10 +146,13 @@ def _bm25_block(q: DataFrame, index: Bm25Index, found: DataFrame, top_k: int) ->
                 best.append((np.full(len(first), i), touched[first], got[first]))
             if best:
                 i, c, x = map(np.concatenate, zip(*best, strict=True))
-                yield from pa.table({"query_id": query_ids.take(pa.array(i)), "chunk_id": ids.take(pa.array(c)), "score": x}).to_batches(65_536)
+                yield from pa.table({"query": i.astype(np.int32), "chunk_id": ids.take(pa.array(c)), "score": x}).to_batches(65_536)
 
     kinds = dict(q.dtypes) | dict(hit.dtypes)
-    return hit.mapInArrow(run, f"query_id {kinds['query_id']}, chunk_id {kinds['chunk_id']}, score double")
+    best = top(hit.mapInArrow(run, f"query int, chunk_id {kinds['chunk_id']}, score double"), top_k, of="query")
+    each = np.repeat(np.arange(len(askers), dtype=np.int32), pa.compute.list_value_length(askers).to_numpy(zero_copy_only=False))
+    asking = spark.createDataFrame(pa.table({"query": each, "query_id": askers.flatten().field("query_id")}), f"query int, query_id {kinds['query_id']}")
+    return best.join(broadcast_if_small(asking, 32), "query").select("query_id", "chunk_id", "score", "rank")
 
 
 def _whole_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
@@ -175,8 +179,8 @@ def _placed(b: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.nda
     return b.column(0).take(pa.array(np.flatnonzero(new))), np.cumsum(new) - 1, b.column(1).to_numpy(), b.column(2).to_numpy()
 
 
-def top(scored: DataFrame, k: int, by: str = "score", tie: str = "chunk_id") -> DataFrame:
-    r = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc(by), tie))
+def top(scored: DataFrame, k: int, by: str = "score", tie: str = "chunk_id", of: str = "query_id") -> DataFrame:
+    r = F.row_number().over(W.partitionBy(of).orderBy(F.desc(by), tie))
     return scored.withColumn("rank", r).where(F.col("rank") <= k)
 
 

@@ -222,6 +222,18 @@ def test_bm25_parts_send_their_best_only(spark, monkeypatch):
     assert n == 401
 
 
+def test_queries_of_the_same_words_are_scored_once(spark, monkeypatch):
+    c = spark.createDataFrame([(i, 0, "pump seal") for i in range(6)] + [(7, 0, "number7")] + [(40 + i, 0, f"other words{i}") for i in range(20)], "id long, doc_id long, content string")
+    q = spark.createDataFrame([(1, "seal vs pump"), (2, "  Pump vs  seal"), (3, "pump pump vs seal"), (None, "vs seal pump"), (5, "number7"), (6, "nowhere")], "query_id long, query string")
+    sent, broadcast = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sent.append(value) or broadcast(value))
+    rows = [tuple(r) for r in se.bm25(q, c, 4).collect()]
+    assert [max(len(x) for x in value if isinstance(x, np.ndarray)) for value in sent] == [8]  # words to score: 3 + 3 + 1 + 1
+    of = {i: sorted(r[1:] for r in rows if r[0] == i) for i in (1, 2, 3, None, 5, 6)}
+    assert of[1] == of[2] == of[None] and [(x[0], x[2]) for x in of[1]] == [(x[0], x[2]) for x in of[3]] == [(0, 1), (1, 2), (2, 3), (3, 4)]
+    assert of[3][0][1] > of[1][0][1] > 0 and [(x[0], x[2]) for x in of[5]] == [(7, 1)] and of[6] == [] and len(rows) == 17
+
+
 def test_texts_and_postings_are_cut_between_rows(monkeypatch):
     import pyarrow as pa
 
